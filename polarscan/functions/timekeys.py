@@ -59,7 +59,8 @@ def day_prefix(date: Column, station: Column | None = None) -> Column:
 
 
 def tilt_file(tilt: Column) -> Column:
-    return F.format_string("%.1f.RDA", tilt.cast("double"))
+    # Ties go to the even digit, unlike format_string's own rounding.
+    return F.format_string("%.1f.RDA", F.rint(tilt.cast("double") * F.lit(10.0)) / F.lit(10.0))
 
 
 def file_tilt(filename: Column) -> Column:
@@ -68,13 +69,17 @@ def file_tilt(filename: Column) -> Column:
 
 
 def human_size(n: Column) -> Column:
-    units = ["B", "KB", "MB", "GB", "TB"]
-    expr = None
-    for i, unit in enumerate(units[:-1]):
-        text = F.format_string(f"%.2f {unit}", n.cast("double") / F.lit(float(1024**i)))
-        cond = n < F.lit(1024 ** (i + 1))
-        expr = F.when(cond, text) if expr is None else expr.when(cond, text)
-    return expr.otherwise(F.format_string("%.2f TB", n.cast("double") / F.lit(float(1024**4))))
+    def text(power: int, unit: str) -> Column:
+        hundredths = F.rint(n.cast("double") * F.lit(100.0) / F.lit(float(1024**power)))
+        return F.format_string(f"%.2f {unit}", hundredths / F.lit(100.0))
+
+    return (
+        F.when(n < 1024, text(0, "B"))
+        .when(n < 1024**2, text(1, "KB"))
+        .when(n < 1024**3, text(2, "MB"))
+        .when(n < 1024**4, text(3, "GB"))
+        .otherwise(text(4, "TB"))
+    )
 
 
 def clock_from_ns(ns: Column) -> Column:

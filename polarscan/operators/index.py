@@ -101,12 +101,12 @@ class CommitLog:
 
     A commit writes only its own rows, so its cost follows the batch and not the table; replaying a commit number
     overwrites its folder and changes nothing. Deletes are rows marked ``deleted``. ``compact`` folds the log into one
-    snapshot. Rows are partitioned by station and product, which is what every lookup filters on.
+    snapshot, clustered by key. Files are sorted by key, so lookups by station, product and time skip row groups by
+    their statistics instead of needing one folder per station.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], partitions: list[str]) -> None:
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.keys, self.partitions = keys, partitions
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str]) -> None:
+        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, keys
 
     def _numbers(self, kind: str) -> list[int]:
         names = fs.children(self.spark, f"{self.path}/{kind}")
@@ -117,12 +117,7 @@ class CommitLog:
         return max(self._numbers("log") + self._numbers("snapshot"), default=-1) + 1
 
     def _write(self, rows: DataFrame, kind: str, commit: int) -> None:
-        # Clustered on the partition columns plus a hash of the key: a station with very many frames spans several files.
-        spread = F.pmod(F.xxhash64(*self.keys), F.lit(8))
-        writer = rows.repartition(*self.partitions, spread).write.mode("overwrite")
-        # Static overwrite, so a replayed commit leaves nothing of its earlier attempt behind.
-        writer = writer.option("partitionOverwriteMode", "static").partitionBy(*self.partitions)
-        writer.parquet(f"{self.path}/{kind}/commit={commit}")
+        rows.sortWithinPartitions(*self.keys).write.mode("overwrite").parquet(f"{self.path}/{kind}/commit={commit}")
 
     def append(self, rows: DataFrame, commit: int | None = None, deleted: bool = False) -> int:
         commit = self.next_commit() if commit is None else commit
@@ -165,16 +160,18 @@ class CommitLog:
         commit = sources[-1][1]
         if sources == [("snapshot", commit)]:
             return commit
-        self._write(self.read().withColumn("deleted", F.lit(False)), "snapshot", commit)
+        # Ranges over the whole key split a station with very many frames over several files.
+        clustered = self.read().withColumn("deleted", F.lit(False)).repartitionByRange(*self.keys)
+        self._write(clustered, "snapshot", commit)
         for kind, n in sources:
             fs.delete(self.spark, f"{self.path}/{kind}/commit={n}") if (kind, n) != ("snapshot", commit) else None
         return commit
 
 
 def frame_index(spark: SparkSession, base: str) -> CommitLog:
-    return CommitLog(spark, f"{base.rstrip('/')}/frame_index", schemas.FRAME_INDEX, KEYS, ["station", "product_name"])
+    return CommitLog(spark, f"{base.rstrip('/')}/frame_index", schemas.FRAME_INDEX, KEYS)
 
 
 def file_table(spark: SparkSession, base: str) -> CommitLog:
     keys = ["station", "product", "timestamp", "filename"]
-    return CommitLog(spark, f"{base.rstrip('/')}/frame_files", schemas.FRAME_FILES, keys, ["station", "product"])
+    return CommitLog(spark, f"{base.rstrip('/')}/frame_files", schemas.FRAME_FILES, keys)

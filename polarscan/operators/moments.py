@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import products as pr
@@ -13,10 +13,20 @@ from .. import schemas
 BELOW_THRESHOLD_OR_FOLDED = 1
 
 
+def block_code(name: Column) -> Column:
+    """Moment code of a data-block name by its prefix; null for other names."""
+    expr = None
+    for _, code, prefix, _, _ in pr.PRODUCTS:
+        hit = F.startswith(name, F.lit(prefix))
+        expr = F.when(hit, F.lit(code)) if expr is None else expr.when(hit, F.lit(code))
+    return expr
+
+
 def for_products(moments: DataFrame, products: list[str]) -> DataFrame:
-    """Pairs each moment with every requested product whose block prefix its name starts with."""
+    """Pairs each moment with every requested product of its code; other moments drop out."""
     dim = pr.product_dim(moments.sparkSession, products)
-    return moments.join(F.broadcast(dim), F.startswith(moments["name"], dim["block_prefix"]))
+    # The dimension is an inline relation with one row per requested product.
+    return moments.withColumn("moment_code", block_code(F.col("name"))).join(F.broadcast(dim), "moment_code")
 
 
 def decode_gates(packed: bytes, num_gates: int, word_size: int) -> np.ndarray:

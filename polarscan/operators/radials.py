@@ -20,7 +20,7 @@ MAX_GATES = 8000
 ANGLE_STEP = 360.0 / 65536.0
 
 
-def _in_range(azimuth: Column, elevation: Column) -> Column:
+def angles_in_range(azimuth: Column, elevation: Column) -> Column:
     return (
         (azimuth >= f.f32(-0.1)) & (azimuth <= f.f32(360.1)) & (elevation >= f.f32(-5.0)) & (elevation <= f.f32(90.0))
     )
@@ -48,7 +48,7 @@ def radials(messages: DataFrame) -> DataFrame:
             either(F.lit(1), b.be_u16(p, 30)).alias("block_count"),
             "payload",
         )
-        .where(F.col("block_count").between(1, MAX_BLOCKS) & _in_range(F.col("azimuth"), F.col("elevation")))
+        .where(F.col("block_count").between(1, MAX_BLOCKS) & angles_in_range(F.col("azimuth"), F.col("elevation")))
     )
 
 

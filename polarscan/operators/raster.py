@@ -48,9 +48,21 @@ OFFLINE = RasterProfile(
 
 
 def tilt_band_join(sweeps: DataFrame, tilts: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
-    """Every tilt within ``tolerance`` of a sweep's elevation; a sweep may feed several. The keys keep it an equi-join."""
+    """Every tilt within ``tolerance`` of a sweep's elevation; a sweep may feed several.
+
+    Angles are cut into bands a few tolerances wide, and a tilt is listed in each band its tolerance reaches, so the
+    join is on equal bands and never pairs all sweeps of a volume with all its tilts.
+    """
+    width, reach = 4.0 * tolerance, 1.01 * tolerance
+
+    def band(x: Column) -> Column:
+        return F.floor(x / F.lit(width)).cast("int")
+
+    tilt = F.col("tilt").cast("double")
+    listed = tilts.withColumn("_band", F.explode(F.sequence(band(tilt - reach), band(tilt + reach))))
     near = F.abs(f.sub(F.col("elevation_deg"), F.col("tilt"))) < f.f32(tolerance)
-    return sweeps.join(tilts, keys).where(near)
+    banded = sweeps.withColumn("_band", band(F.col("elevation_deg").cast("double")))
+    return banded.join(listed, [*keys, "_band"]).where(near).drop("_band")
 
 
 def rays_for(tilt_rays: Column, always_full: bool = False) -> Column:
