@@ -82,9 +82,15 @@ def frame_files(
     profile: raster.RasterProfile = raster.INGEST,
     save_tilts: bool = True,
     save_volumes: bool = True,
+    identity: DataFrame | None = None,
 ) -> DataFrame:
-    """File rows of all tilts and volumes. Packs are written once and feed both."""
+    """File rows of all tilts and volumes. Packs are written once and feed both.
+
+    ``identity`` (volume_id, station, timestamp) names the files by object key instead of by volume header.
+    """
     frames = decoded.frames
+    if identity is not None:
+        frames = frames.drop("station", "timestamp").join(identity, "volume_id")
     packs = materialize(decoded.tilt_packs(profile), "packs")
     parts = []
     if save_tilts:

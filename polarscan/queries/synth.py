@@ -10,11 +10,14 @@ import bz2
 import struct
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import timekeys as t
 from ..session import scratch_path
 from . import mapping as m
 
@@ -160,3 +163,25 @@ def volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
         build_volumes(spark, sf_dir).write.parquet(path)
         _written[key] = path
     return spark.read.parquet(_written[key])
+
+
+def write_objects(rows: DataFrame, root: str) -> DataFrame:
+    """Writes volumes as objects of one day, ``root/2024/01/01/STATION/NAME``; the returned rows are the written keys."""
+    user = F.split("volume_id", "-")[0].cast("bigint")
+    block = F.split("volume_id", "-")[1].cast("bigint")
+    station = F.concat(F.lit("K"), F.lpad((user % 1000).cast("string"), 3, "0"))
+    second = (F.floor(user / 1000) * 3600 + block) % 86400
+    name = F.concat(station, F.lit("20240101_"), t.clock(second), F.lit("_V06_"), "volume_id")
+    keyed = rows.select(F.concat_ws("/", F.lit(f"{root}/2024/01/01"), station, name).alias("path"), "content")
+
+    def run(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                target = path.as_py()
+                system, inner = pafs.FileSystem.from_uri(target) if "://" in target else (pafs.LocalFileSystem(), target)
+                system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(inner) as out:
+                    out.write(content.as_py())
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["path"])
+
+    return keyed.mapInArrow(run, "path string")
