@@ -148,17 +148,28 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(col, f.type) for col, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
 
-def frame_messages(volumes: DataFrame, keep_types: tuple[int, ...] = (1, 31), strict: bool = False) -> DataFrame:
-    """Message rows of each volume. Payloads of other complete types than ``keep_types`` are left out."""
+HEADER_TYPE = 0
+
+
+def frame_messages(
+    volumes: DataFrame, keep_types: tuple[int, ...] = (1, 31), strict: bool = False, with_header: bool = False
+) -> DataFrame:
+    """Message rows of each volume. Payloads of other complete types than ``keep_types`` are left out.
+
+    ``with_header`` adds one row of type 0 in front, with the raw volume header, so that one pass over the content is
+    enough; it comes even when nothing can be unpacked.
+    """
 
     def run(batches):
         for batch in batches:
             for volume_id, blob in zip(batch.column(0), batch.column(1)):
                 blob = blob.as_py()
-                data = unpack_volume(blob, strict) if blob is not None and len(blob) >= HEADER_BYTES else None
-                if data is None:
+                if blob is None or len(blob) < HEADER_BYTES:
                     continue
                 rows, size = [], 0
+                if with_header:
+                    rows.append((volume_id.as_py(), -1, 0, 0, 0, 0, 0, 0, 0, HEADER_TYPE, blob[:HEADER_BYTES]))
+                data = unpack_volume(blob, strict) or b""
                 for seq, row in enumerate(messages_of(data)):
                     payload = row[-1] if row[-2] in keep_types else None
                     rows.append((volume_id.as_py(), seq, *row[:-1], payload))
@@ -172,20 +183,26 @@ def frame_messages(volumes: DataFrame, keep_types: tuple[int, ...] = (1, 31), st
     return volumes.select("volume_id", "content").mapInArrow(run, schemas.MESSAGES)
 
 
-def volume_headers(volumes: DataFrame) -> DataFrame:
-    """Station and timestamp per volume: from the 24-byte header, or the caller's hints for a bare bzip2 stream."""
+def header_fields(rows: DataFrame) -> DataFrame:
+    """(volume_id, head, hints) to station and timestamp: the header's, or the hints for a bare bzip2 stream."""
     head = F.col("head")
     bare = b.take(head, 0, 2) == F.lit(b"BZ")
-    narrow = volumes.select(
-        "volume_id",
-        F.col("station").alias("station_hint"),
-        F.col("ts_key").alias("ts_hint"),
-        F.substring("content", 1, HEADER_BYTES).alias("head"),
-    ).where(F.octet_length("head") >= HEADER_BYTES)
-    return narrow.select(
+    return rows.select(
         "volume_id",
         F.when(bare, F.col("station_hint")).otherwise(b.text(head, 20, 4)).alias("station"),
         F.when(bare, F.col("ts_hint"))
         .otherwise(timekeys.julian_to_key(b.be_u32(head, 12), b.be_u32(head, 16)))
         .alias("timestamp"),
     )
+
+
+def hints(volumes: DataFrame) -> DataFrame:
+    """What the caller says about each volume; content is not read for it."""
+    return volumes.select("volume_id", F.col("station").alias("station_hint"), F.col("ts_key").alias("ts_hint"))
+
+
+def volume_headers(volumes: DataFrame) -> DataFrame:
+    """Station and timestamp of each volume, for callers that decode nothing else."""
+    head = F.substring("content", 1, HEADER_BYTES).alias("head")
+    narrow = volumes.select("volume_id", F.col("station").alias("station_hint"), F.col("ts_key").alias("ts_hint"), head)
+    return header_fields(narrow.where(F.octet_length("head") >= HEADER_BYTES))

@@ -14,6 +14,14 @@ GEOMETRY_MIN_GATES = 10
 EMPTY_ELEVATION = 999.0
 
 
+BLOCK_SLOTS = 16
+
+
+def stream_order() -> Column:
+    """Position of a block in its volume, as one number: aggregates over plain numbers hash, over structs they sort."""
+    return F.col("msg_seq").cast("bigint") * BLOCK_SLOTS + F.col("block_no")
+
+
 def first_by(value: Column, order: Column, where: Column) -> Column:
     """Value of the first row, in ``order``, that satisfies ``where``."""
     return F.min_by(value, F.when(where, order))
@@ -25,14 +33,12 @@ def last_by(value: Column, order: Column, where: Column) -> Column:
 
 def first_geometry(moments: DataFrame, keys: list[str]) -> DataFrame:
     """Gate geometry of the first moment with more than ten gates; it then applies to all sweeps."""
-    geometry = F.struct("num_gates", "first_gate", "gate_spacing")
-    order = F.struct("msg_seq", "block_no")
-    picked = moments.where(F.col("num_gates") > GEOMETRY_MIN_GATES).groupBy(*keys).agg(F.min_by(geometry, order).alias("g"))
-    return picked.select(
-        *keys,
-        q.downsampled_gates(F.col("g.num_gates")).alias("ngates"),
-        F.col("g.first_gate").alias("first_gate"),
-        F.col("g.gate_spacing").alias("gate_spacing"),
+    order = stream_order()
+    usable = moments.where(F.col("num_gates") > GEOMETRY_MIN_GATES)
+    return usable.groupBy(*keys).agg(
+        q.downsampled_gates(F.min_by("num_gates", order)).alias("ngates"),
+        F.min_by("first_gate", order).alias("first_gate"),
+        F.min_by("gate_spacing", order).alias("gate_spacing"),
     )
 
 
@@ -68,7 +74,7 @@ def sweep_nyquist(ranges: DataFrame, sweep_rows: DataFrame) -> DataFrame:
     at = ranges.join(sweep_rows.select("volume_id", "sweep_id", "tilt_key", "start_seq", "next_seq"), "volume_id").where(
         (F.col("msg_seq") >= F.col("start_seq")) & (F.col("next_seq").isNull() | (F.col("msg_seq") < F.col("next_seq")))
     )
-    order = F.struct("msg_seq", "block_no")
+    order = stream_order()
     generic = F.col("msg_type") == 31
     return (
         at.where(F.col("nyquist") > 0)
@@ -91,9 +97,9 @@ def frames(
     geometry: DataFrame,
 ) -> DataFrame:
     """One row per (volume, product), also for volumes without a usable radial."""
-    order = F.struct("msg_seq", "block_no")
+    order = stream_order()
     site_cols = ["lat", "lon", "height_asl", "vcp", "sys_diff_refl", "sys_diff_phase"]
-    site = sites.groupBy("volume_id").agg(F.max_by(F.struct(*site_cols), order).alias("s"))
+    site = sites.groupBy("volume_id").agg(*[F.max_by(c, order).alias(c) for c in site_cols])
     span = F.col("unambiguous_range")
     generic = F.col("msg_type") == 31
     reach = ranges.groupBy("volume_id").agg(
@@ -131,10 +137,10 @@ def frames(
             "station",
             "timestamp",
             "product",
-            F.coalesce("s.lat", F.lit(0.0)).alias("lat"),
-            F.coalesce("s.lon", F.lit(0.0)).alias("lon"),
-            F.coalesce("s.height_asl", f.f32(0.0)).alias("height_asl"),
-            F.coalesce("s.vcp", F.lit(0)).alias("vcp"),
+            F.coalesce("lat", F.lit(0.0)).alias("lat"),
+            F.coalesce("lon", F.lit(0.0)).alias("lon"),
+            F.coalesce("height_asl", f.f32(0.0)).alias("height_asl"),
+            F.coalesce("vcp", F.lit(0)).alias("vcp"),
             "nsweeps",
             "ngates",
             "nrays",
@@ -142,8 +148,8 @@ def frames(
             F.coalesce("first_gate", f.f32(0.0)).alias("first_gate"),
             metres("max_refl", "max_all").alias("max_range"),
             metres("last_refl", "last_all").alias("unambiguous_range"),
-            F.coalesce("s.sys_diff_refl", f.f32(0.0)).alias("sys_diff_refl"),
-            F.coalesce("s.sys_diff_phase", f.f32(0.0)).alias("sys_diff_phase"),
+            F.coalesce("sys_diff_refl", f.f32(0.0)).alias("sys_diff_refl"),
+            F.coalesce("sys_diff_phase", f.f32(0.0)).alias("sys_diff_phase"),
             F.coalesce("first_elevation", "min_elevation", f.f32(EMPTY_ELEVATION)).alias("elevation_deg"),
             F.coalesce("available_tilts", F.array().cast("array<float>")).alias("available_tilts"),
         )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,15 +35,21 @@ def decode_gates(packed: bytes, num_gates: int, word_size: int) -> np.ndarray:
     return np.frombuffer(packed, dtype=">u2" if word_size == 16 else "u1", count=num_gates)
 
 
-def gate_values(raw: np.ndarray, offset: float, scale: float, floor_at: float | None) -> tuple[np.ndarray, np.ndarray]:
-    """Gate numbers and calibrated values, rounded to tenths, of the gates that carry data (float32 throughout)."""
-    gates = np.flatnonzero(raw > BELOW_THRESHOLD_OR_FOLDED)
-    value = (raw[gates].astype("f4") - np.float32(offset)) / np.float32(scale)
-    if floor_at is not None:
-        keep = ~(value < np.float32(floor_at))
-        gates, value = gates[keep], value[keep]
-    tenths = (value * np.float32(10.0)).astype("f8")
-    return gates, (np.copysign(np.floor(np.abs(tenths) + 0.5), tenths)).astype("f4") * np.float32(0.1)
+@lru_cache(maxsize=128)
+def value_table(word_size: int, offset: float, scale: float, floor_at: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Calibrated value, rounded to tenths, and "carries data" for every raw code (float32 throughout).
+
+    Raw codes have 8 or 16 bits and a volume uses few scales, so gates are decoded by table lookup.
+    """
+    raw = np.arange(1 << word_size)
+    with np.errstate(all="ignore"):
+        value = (raw.astype("f4") - np.float32(offset)) / np.float32(scale)
+        keep = raw > BELOW_THRESHOLD_OR_FOLDED
+        if floor_at is not None:
+            keep &= ~(value < np.float32(floor_at))
+        tenths = (value * np.float32(10.0)).astype("f8")
+        value = np.copysign(np.floor(np.abs(tenths) + 0.5), tenths).astype("f4") * np.float32(0.1)
+    return value, keep
 
 
 def gate_ranges(gates: np.ndarray, first_gate: float, spacing: float) -> np.ndarray:
@@ -67,10 +75,11 @@ def explode_bins(moments: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 raw = decode_gates(cols["gates"][i], cols["num_gates"][i], cols["word_size"][i])
                 floor_at = -32.0 if cols["moment_code"][i] == 1 else None
-                g, v = gate_values(raw, cols["offset"][i], cols["scale"][i], floor_at)
+                table, carries = value_table(cols["word_size"][i], cols["offset"][i], cols["scale"][i], floor_at)
+                g = np.flatnonzero(carries[raw])
                 counts.append(len(g))
                 gate.append(g.astype("i4"))
-                value.append(v)
+                value.append(table[raw[g]])
                 range_m.append(gate_ranges(g, cols["first_gate"][i], cols["gate_spacing"][i]))
             if not sum(counts):
                 continue

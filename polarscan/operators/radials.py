@@ -27,7 +27,10 @@ def angles_in_range(azimuth: Column, elevation: Column) -> Column:
 
 
 def radials(messages: DataFrame) -> DataFrame:
-    """Radial headers of type-31 and type-1 messages that pass the size, block-count and angle checks."""
+    """Radial headers of type-31 and type-1 messages that pass the size, block-count and angle checks.
+
+    Volume-header rows of the framing (type 0) pass through.
+    """
     p = F.col("payload")
     legacy = F.col("complete_type") == 1
     need = F.when(legacy, F.lit(LEGACY_MIN_BYTES)).otherwise(F.lit(GENERIC_HEADER_BYTES))
@@ -36,7 +39,7 @@ def radials(messages: DataFrame) -> DataFrame:
         return F.when(legacy, old).otherwise(new)
 
     return (
-        messages.where(F.col("complete_type").isin(1, 31) & b.has_bytes(p, 0, need))
+        messages.where((F.col("complete_type") == 0) | (F.col("complete_type").isin(1, 31) & b.has_bytes(p, 0, need)))
         .select(
             "volume_id",
             "msg_seq",
@@ -48,7 +51,10 @@ def radials(messages: DataFrame) -> DataFrame:
             either(F.lit(1), b.be_u16(p, 30)).alias("block_count"),
             "payload",
         )
-        .where(F.col("block_count").between(1, MAX_BLOCKS) & angles_in_range(F.col("azimuth"), F.col("elevation")))
+        .where(
+            (F.col("msg_type") == 0)
+            | (F.col("block_count").between(1, MAX_BLOCKS) & angles_in_range(F.col("azimuth"), F.col("elevation")))
+        )
     )
 
 
@@ -77,51 +83,75 @@ def sweep_segments(rads: DataFrame) -> DataFrame:
 
 
 def attach_blocks(rads: DataFrame) -> DataFrame:
-    """Replaces the payload by ``blocks``: per usable pointer its number, kind, name, fixed part and gate bytes.
+    """Replaces the payload by ``blocks``: per usable pointer its number, fixed part and gate bytes.
 
-    A legacy payload becomes one block of kind ``L``. Column pruning can then skip gates, or all blocks, in storage.
+    A legacy payload becomes one block; a volume header becomes ``head``. Column pruning can then skip gates, or all blocks, in storage. Pointers and
+    fixed parts are taken in steps of their own, because a lambda evaluates an expression anew wherever it is used.
     """
     p = F.col("payload")
     size = F.octet_length(p)
+    numbers = F.sequence(F.lit(0), F.col("block_count") - 1)
+    # All ten pointers as text once: eight hex digits each.
+    pointers = F.transform(numbers, lambda i: F.conv(F.substring(F.col("_ptr"), i * 8 + 1, F.lit(8)), 16, 10).cast("bigint"))
 
-    def latin(blob: Column) -> Column:
-        return F.decode(blob, "ISO-8859-1")
-
-    def block(i: Column) -> Column:
-        at = b.be_u32(p, F.lit(GENERIC_HEADER_BYTES - 4 * MAX_BLOCKS) + i * 4)
-        word = F.when(b.be_u8(p, at + 19) == 16, F.lit(2)).otherwise(F.lit(1))
-        moment = (b.take(p, at, 1) == F.lit(b"D")) & b.has_bytes(p, at, MOMENT_BLOCK_BYTES)
-        gates = b.take(p, at + MOMENT_BLOCK_BYTES, b.be_u16(p, at + 8) * word)
+    def fixed_part(at: Column, i: Column) -> Column:
         return F.when(
             b.pointer_ok(at, BLOCK_HEADER_BYTES, size),
-            F.struct(
-                i.cast("int").alias("block_no"),
-                latin(b.take(p, at, 1)).alias("kind"),
-                latin(b.take(p, at + 1, 3)).alias("name"),
-                b.take(p, at, VOLUME_BLOCK_BYTES).alias("fixed"),
-                F.when(moment, gates).alias("gates"),
-            ),
+            F.struct(i.alias("block_no"), at.alias("at"), b.take(p, at, VOLUME_BLOCK_BYTES).alias("fixed")),
         )
 
+    def with_gates(x: Column) -> Column:
+        fixed = x["fixed"]
+        word = F.when(b.take(fixed, 19, 1) == F.lit(b"\x10"), F.lit(2)).otherwise(F.lit(1))
+        gates = b.take(p, x["at"] + MOMENT_BLOCK_BYTES, b.be_u16(fixed, 8) * word)
+        moment = (b.take(fixed, 0, 1) == F.lit(b"D")) & b.has_bytes(fixed, 0, MOMENT_BLOCK_BYTES)
+        held = F.when(moment, gates)
+        return F.struct(
+            x["block_no"].alias("block_no"),
+            fixed.alias("fixed"),
+            F.octet_length(held).alias("gate_bytes"),
+            held.alias("gates"),
+        )
+
+    found = F.filter(F.transform(F.col("_at"), fixed_part), lambda x: x.isNotNull())
+    legacy_gates = b.take(p, LEGACY_DATA_AT, b.be_u16(p, 24))
     legacy = F.array(
         F.struct(
             F.lit(0).alias("block_no"),
-            F.lit("L").alias("kind"),
-            F.lit("REF").alias("name"),
             b.take(p, 0, LEGACY_DATA_AT).alias("fixed"),
-            b.take(p, LEGACY_DATA_AT, b.be_u16(p, 24)).alias("gates"),
+            F.octet_length(legacy_gates).alias("gate_bytes"),
+            legacy_gates.alias("gates"),
         )
     )
-    indexes = F.sequence(F.lit(0), F.col("block_count") - 1)
-    generic = F.filter(F.transform(indexes, block), lambda x: x.isNotNull())
-    return rads.withColumn("blocks", F.when(F.col("msg_type") == 1, legacy).otherwise(generic)).drop(
-        "payload", "block_count"
+    blocks = F.when(F.col("msg_type") == 1, legacy).when(F.col("msg_type") == 31, F.transform(found, with_gates))
+    return (
+        rads.withColumn("_ptr", F.hex(b.take(p, GENERIC_HEADER_BYTES - 4 * MAX_BLOCKS, 4 * MAX_BLOCKS)))
+        .withColumn("_at", F.when(F.col("msg_type") == 31, pointers))
+        .withColumn("head", F.when(F.col("msg_type") == 0, p))
+        .withColumn("blocks", blocks)
+        .drop("payload", "block_count", "_ptr", "_at")
     )
 
 
 def explode_blocks(rads: DataFrame) -> DataFrame:
+    """One row per block, with kind and name; a legacy payload has kind ``L``."""
+    fixed = F.col("blk.fixed")
+    legacy = F.col("msg_type") == 1
+
+    def latin(at: int, n: int) -> Column:
+        return F.decode(b.take(fixed, at, n), "ISO-8859-1")
+
     return rads.select("volume_id", "msg_seq", "msg_type", "azimuth", F.explode("blocks").alias("blk")).select(
-        "volume_id", "msg_seq", "msg_type", "azimuth", "blk.block_no", "blk.kind", "blk.name", "blk.fixed", "blk.gates"
+        "volume_id",
+        "msg_seq",
+        "msg_type",
+        "azimuth",
+        "blk.block_no",
+        F.when(legacy, F.lit("L")).otherwise(latin(0, 1)).alias("kind"),
+        F.when(legacy, F.lit("REF")).otherwise(latin(1, 3)).alias("name"),
+        "blk.fixed",
+        "blk.gate_bytes",
+        "blk.gates",
     )
 
 
@@ -182,6 +212,7 @@ def moment_blocks(blocks: DataFrame, low_byte_word_size: bool = False) -> DataFr
         either(F.lit(8), F.when(word == 0, F.lit(8)).otherwise(word)).alias("word_size"),
         either(f.f32(2.0), b.be_f32(x, 20)).alias("scale"),
         either(f.f32(66.0), b.be_f32(x, 24)).alias("offset"),
+        "gate_bytes",
         "gates",
     )
     usable = (
@@ -191,5 +222,5 @@ def moment_blocks(blocks: DataFrame, low_byte_word_size: bool = False) -> DataFr
         & (F.col("scale") != 0)
         & ~F.isnan("scale")
     )
-    complete = F.octet_length("gates") >= F.col("num_gates") * F.col("word_size") / 8
+    complete = F.col("gate_bytes") >= F.col("num_gates") * F.col("word_size") / 8
     return rows.where((F.col("num_gates") > 0) & ((F.col("msg_type") == 1) | usable) & complete)

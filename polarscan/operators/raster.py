@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from .. import products as pr
 from .. import schemas
 from ..functions import f32 as f
 from ..functions import quantize as q
-from .moments import decode_gates, gate_ranges, gate_values
+from .moments import decode_gates, gate_ranges, value_table
 
 FULL_RAYS, HALF_RAYS = 720, 360
 FINE_RAY_COUNT = 400
@@ -146,14 +147,33 @@ def cells_3d(bins: DataFrame, cut_rows: DataFrame, profile: RasterProfile = INGE
     return max_cells(rayed, ["volume_id", "product", "tilt_idx", "ray", "gate"])
 
 
-def _line_codes(value: np.ndarray, low: float, high: float, truncate: bool) -> np.ndarray:
+@lru_cache(maxsize=128)
+def code_table(
+    word_size: int, offset: float, scale: float, floor_at: float | None, low: float, high: float, truncate: bool
+) -> np.ndarray:
+    """8-bit code of every raw gate value; 0 where there is no data."""
+    value, keep = value_table(word_size, offset, scale, floor_at)
     low32, span = np.float32(low), np.float32(high) - np.float32(low)
-    if truncate:
-        code = np.clip((value - low32) / span * np.float32(255.0), 0, 255)
-        return np.where(np.isnan(code) | (value <= low32), 0, code).astype("u1")
-    unit = np.clip((value - low32) / span, np.float32(0.0), np.float32(1.0))
-    code = np.floor((unit * np.float32(255.0)).astype("f8") + 0.5)
-    return np.where(np.isnan(code), 0, code).astype("u1")
+    with np.errstate(all="ignore"):
+        if truncate:
+            code = np.floor(np.clip((value - low32) / span * np.float32(255.0), 0, 255))
+            keep = keep & ~(value <= low32)
+        else:
+            unit = np.clip((value - low32) / span, np.float32(0.0), np.float32(1.0))
+            code = np.floor((unit * np.float32(255.0)).astype("f8") + 0.5)
+    return np.where(keep & ~np.isnan(code), code, 0).astype("u1")
+
+
+@lru_cache(maxsize=128)
+def cell_map(
+    num_gates: int, first_gate: float, spacing: float, grid_first: float, grid_spacing: float, grid_gates: int
+) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Gates that fall into the grid, their cells, and whether no two gates share a cell."""
+    gates = np.arange(num_gates)
+    cell = np.floor((gate_ranges(gates, first_gate, spacing) - np.float32(grid_first)) / np.float32(grid_spacing))
+    gates = np.flatnonzero((cell >= 0) & (cell < grid_gates))
+    cell = cell[gates].astype("i4")
+    return gates, cell, bool(np.all(np.diff(cell) > 0))
 
 
 def _pack(grid: np.ndarray) -> tuple[bytes, bytes]:
@@ -164,11 +184,13 @@ def _pack(grid: np.ndarray) -> tuple[bytes, bytes]:
 _PACK_KEYS = ["volume_id", "product", "tilt_idx", "tilt", "num_rays", "ngates", "first_gate", "gate_spacing", "moment_code"]
 
 
-def pack_tilts(moments: DataFrame, cut_rows: DataFrame, tilts: DataFrame, profile: RasterProfile = INGEST) -> DataFrame:
+def pack_tilts(
+    moments: DataFrame, cut_rows: DataFrame, profile: RasterProfile = INGEST, partitions: int | None = None
+) -> DataFrame:
     """Packed 2-D grid of every tilt, and its slab of the 720-ray volume, straight from packed gates.
 
-    ``moments`` is (volume, product, msg_seq, azimuth, gates ...). The join and the grouping both hash on the volume, a
-    tilt without data still yields its empty grid, and grids never leave the group as rows.
+    ``moments`` is (volume, product, msg_seq, azimuth, gates ...). Join and grouping share one exchange on (volume,
+    product), a tilt without data still yields its empty grid, and grids never leave the group as rows.
     """
     m = moments.select(
         "volume_id",
@@ -185,25 +207,32 @@ def pack_tilts(moments: DataFrame, cut_rows: DataFrame, tilts: DataFrame, profil
     )
     at = F.col("msg_seq")
     within = (at >= F.col("start_seq")) & (F.col("next_seq").isNull() | (at < F.col("next_seq")))
-    # Tilts are few per volume; each contributes one gate-less row so that its group exists.
-    anchors = tilts.withColumn("moment_code", pr.moment_code_of(F.col("product")))
-    rays = (
-        m.join(cut_rows, ["volume_id", "product"])
-        .where(within)
-        .select(
-            *[c for c in _PACK_KEYS if c != "moment_code"],
-            pr.moment_code_of(F.col("product")).alias("moment_code"),
-            q.ray_index(F.col("azimuth"), F.col("num_rays"), profile.epsilon).alias("ray"),
-            q.ray_index(F.col("azimuth"), FULL_RAYS, profile.epsilon).alias("full_ray"),
-            "num_gates",
-            "word_size",
-            "scale",
-            "offset",
-            "m_first",
-            "m_spacing",
-            "gates",
-        )
-        .unionByName(anchors.select(*_PACK_KEYS), allowMissingColumns=True)
+    # The packing below is work per row, not per byte, so its parallelism is fixed here and not left to size-based
+    # coalescing. Cuts are the kept side: a tilt without data stays. The merge join keeps the exchange's partitioning,
+    # so it also serves the grouping, and gates are never broadcast.
+    parts = partitions or int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    m = m.repartition(parts, "volume_id", "product").hint("merge")
+    cut = cut_rows.withColumnsRenamed({"volume_id": "cut_volume", "product": "cut_product"})
+    same = (F.col("volume_id") == F.col("cut_volume")) & (F.col("product") == F.col("cut_product"))
+    rays = m.join(cut, same & within, "right").select(
+        F.col("cut_volume").alias("volume_id"),
+        F.col("cut_product").alias("product"),
+        "tilt_idx",
+        "tilt",
+        "num_rays",
+        "ngates",
+        "first_gate",
+        "gate_spacing",
+        pr.moment_code_of(F.col("cut_product")).alias("moment_code"),
+        q.ray_index(F.col("azimuth"), F.col("num_rays"), profile.epsilon).alias("ray"),
+        q.ray_index(F.col("azimuth"), FULL_RAYS, profile.epsilon).alias("full_ray"),
+        "num_gates",
+        "word_size",
+        "scale",
+        "offset",
+        "m_first",
+        "m_spacing",
+        "gates",
     )
     ranges = {name: profile.range_of(name) for name in pr.ALL_PRODUCTS + sorted(pr.ALIASES)}
     default_range = profile.range_of(pr.DEFAULT_PRODUCT)
@@ -214,22 +243,24 @@ def pack_tilts(moments: DataFrame, cut_rows: DataFrame, tilts: DataFrame, profil
         low, high = ranges.get(product, default_range)
         grid = np.zeros((num_rays, ngates), "u1")
         slab = np.zeros((FULL_RAYS, ngates), "u1")
+        floor_at = -32.0 if code == 1 else None
         for batch in batches:
             cols = batch.select(list(_RAY_COLS)).to_pydict()
             for ray, full, n, word, scale, offset, m_first, m_spacing, packed in zip(*(cols[c] for c in _RAY_COLS)):
                 if packed is None:
                     continue
-                gates, value = gate_values(decode_gates(packed, n, word), offset, scale, -32.0 if code == 1 else None)
-                codes = _line_codes(value, low, high, truncate)
-                cell = np.floor((gate_ranges(gates, m_first, m_spacing) - np.float32(first)) / np.float32(spacing))
-                keep = (codes > 0) & (cell >= 0) & (cell < ngates)
+                codes = code_table(word, offset, scale, floor_at, low, high, truncate)[decode_gates(packed, n, word)]
+                gates, cell, distinct = cell_map(n, m_first, m_spacing, first, spacing, ngates)
                 line = np.zeros(ngates, "u1")
-                np.maximum.at(line, cell[keep].astype("i4"), codes[keep])
-                targets = [grid[ray], slab[full]]
+                if distinct:
+                    line[cell] = codes[gates]
+                else:
+                    np.maximum.at(line, cell, codes[gates])
+                np.maximum(grid[ray], line, out=grid[ray])
+                np.maximum(slab[full], line, out=slab[full])
                 if fill and num_rays < FULL_RAYS:
-                    targets.append(slab[(full + 1) % FULL_RAYS])
-                for target in targets:
-                    np.maximum(target, line, out=target)
+                    after = (full + 1) % FULL_RAYS
+                    np.maximum(slab[after], line, out=slab[after])
         mask, values = _pack(grid)
         slab_mask, slab_values = _pack(slab)
         row = [volume_id, product, tilt_idx, tilt, num_rays, ngates, mask, values, slab_mask, slab_values]

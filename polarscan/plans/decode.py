@@ -17,7 +17,6 @@ from ..sources import rda
 class Decoded:
     """Tables of one decode. All are lazy views on the one written radial table, so columns not asked for are not read."""
 
-    messages: DataFrame | None
     radials: DataFrame
     sweeps: DataFrame
     moments: DataFrame
@@ -41,7 +40,7 @@ class Decoded:
         return raster.cuts(self.sweeps, self.tilts(profile), profile)
 
     def tilt_packs(self, profile: raster.RasterProfile = raster.INGEST) -> DataFrame:
-        return raster.pack_tilts(self.moments, self.cuts(profile), self.tilts(profile), profile)
+        return raster.pack_tilts(self.moments, self.cuts(profile), profile)
 
 
 def decode(
@@ -57,13 +56,18 @@ def decode(
     moments read the columns they need from there. ``write_radials=False`` keeps everything lazy, for one-branch reads.
     """
     products = list(dict.fromkeys(products or pr.ALL_PRODUCTS))
-    messages = framing.frame_messages(volumes, strict=strict)
-    rads = radials.attach_blocks(radials.radials(messages))
+    messages = framing.frame_messages(volumes, strict=strict, with_header=True)
+    stream = radials.attach_blocks(radials.radials(messages))
     if write_radials:
-        rads = materialize(rads, "radials")
+        stream = materialize(stream, "radials")
+    heads = stream.where(F.col("msg_type") == 0).select("volume_id", "head").join(framing.hints(volumes), "volume_id")
+    rads = stream.where(F.col("msg_type") != 0)
     narrow = rads.select("volume_id", "msg_seq", "msg_type", "azimuth", "elevation", "radial_status", "elev_num")
     segmented = radials.sweep_segments(narrow)
     sweep_rows = metadata.sweeps(segmented)
+    if write_radials:
+        # A few dozen rows per volume that nearly every later step joins with.
+        sweep_rows = materialize(sweep_rows, "sweeps")
     blocks = radials.explode_blocks(rads)
     sites = radials.site_blocks(blocks)
     ranges = radials.range_blocks(blocks)
@@ -72,9 +76,11 @@ def decode(
     moment_rows = moment_rows.where((F.col("msg_type") == 31) | (F.col("moment_code") == 1))
     geometry = metadata.first_geometry(moment_rows, ["volume_id", "product"])
     frame_rows = metadata.frames(
-        framing.volume_headers(volumes), products, segmented, sweep_rows, sites, ranges, geometry
+        framing.header_fields(heads), products, segmented, sweep_rows, sites, ranges, geometry
     )
-    return Decoded(messages, segmented, sweep_rows, moment_rows, frame_rows, ranges)
+    if write_radials:
+        frame_rows = materialize(frame_rows, "frames")
+    return Decoded(segmented, sweep_rows, moment_rows, frame_rows, ranges)
 
 
 def frame_files(

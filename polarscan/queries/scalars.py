@@ -218,7 +218,7 @@ def human_sizes(spark, sf):
     """SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'N/A' ELSE strftime(ts, '%H:%M:%S UTC') END AS clock FROM events"""
 )
 def clock_from_ns(spark, sf):
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
     ns = F.when(F.col("event_id") % 10 == 0, F.lit(0)).otherwise(us * 1000)
     return m.table(spark, sf, "events").select("event_id", t.clock_from_ns(ns).alias("clock"))
 
