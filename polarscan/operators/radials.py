@@ -83,10 +83,10 @@ def sweep_segments(rads: DataFrame) -> DataFrame:
 
 
 def attach_blocks(rads: DataFrame) -> DataFrame:
-    """Replaces the payload by ``blocks``: per usable pointer its number, fixed part and gate bytes.
+    """Replaces the payload by ``blocks``: number, fixed part and gate bytes per usable pointer.
 
-    A legacy payload becomes one block; a volume header becomes ``head``. Column pruning can then skip gates, or all blocks, in storage. Pointers and
-    fixed parts are taken in steps of their own, because a lambda evaluates an expression anew wherever it is used.
+    A legacy payload becomes one block; a volume header becomes ``head``. Pointers and fixed parts are taken in steps,
+    because a lambda evaluates an expression anew wherever it is used.
     """
     p = F.col("payload")
     size = F.octet_length(p)
@@ -97,7 +97,7 @@ def attach_blocks(rads: DataFrame) -> DataFrame:
     def fixed_part(at: Column, i: Column) -> Column:
         return F.when(
             b.pointer_ok(at, BLOCK_HEADER_BYTES, size),
-            F.struct(i.alias("block_no"), at.alias("at"), b.take(p, at, VOLUME_BLOCK_BYTES).alias("fixed")),
+            F.struct(i.alias("block_no"), b.take(p, at, VOLUME_BLOCK_BYTES).alias("fixed"), at.alias("at")),
         )
 
     def with_gates(x: Column) -> Column:
@@ -105,116 +105,103 @@ def attach_blocks(rads: DataFrame) -> DataFrame:
         word = F.when(b.take(fixed, 19, 1) == F.lit(b"\x10"), F.lit(2)).otherwise(F.lit(1))
         gates = b.take(p, x["at"] + MOMENT_BLOCK_BYTES, b.be_u16(fixed, 8) * word)
         moment = (b.take(fixed, 0, 1) == F.lit(b"D")) & b.has_bytes(fixed, 0, MOMENT_BLOCK_BYTES)
-        held = F.when(moment, gates)
-        return F.struct(
-            x["block_no"].alias("block_no"),
-            fixed.alias("fixed"),
-            F.octet_length(held).alias("gate_bytes"),
-            held.alias("gates"),
-        )
+        return F.struct(x["block_no"].alias("block_no"), fixed.alias("fixed"), F.when(moment, gates).alias("gates"))
 
-    found = F.filter(F.transform(F.col("_at"), fixed_part), lambda x: x.isNotNull())
-    legacy_gates = b.take(p, LEGACY_DATA_AT, b.be_u16(p, 24))
     legacy = F.array(
         F.struct(
             F.lit(0).alias("block_no"),
             b.take(p, 0, LEGACY_DATA_AT).alias("fixed"),
-            F.octet_length(legacy_gates).alias("gate_bytes"),
-            legacy_gates.alias("gates"),
+            b.take(p, LEGACY_DATA_AT, b.be_u16(p, 24)).alias("gates"),
         )
     )
-    blocks = F.when(F.col("msg_type") == 1, legacy).when(F.col("msg_type") == 31, F.transform(found, with_gates))
+    found = F.filter(F.transform(F.col("_at"), fixed_part), lambda x: x.isNotNull())
+    kind = F.col("msg_type")
     return (
         rads.withColumn("_ptr", F.hex(b.take(p, GENERIC_HEADER_BYTES - 4 * MAX_BLOCKS, 4 * MAX_BLOCKS)))
-        .withColumn("_at", F.when(F.col("msg_type") == 31, pointers))
-        .withColumn("head", F.when(F.col("msg_type") == 0, p))
-        .withColumn("blocks", blocks)
+        .withColumn("_at", F.when(kind == 31, pointers))
+        .withColumn("head", F.when(kind == 0, p))
+        .withColumn("blocks", F.when(kind == 1, legacy).when(kind == 31, F.transform(found, with_gates)))
         .drop("payload", "block_count", "_ptr", "_at")
     )
 
 
-def explode_blocks(rads: DataFrame) -> DataFrame:
-    """One row per block, with kind and name; a legacy payload has kind ``L``."""
-    fixed = F.col("blk.fixed")
-    legacy = F.col("msg_type") == 1
+RADIAL_COLUMNS = ["volume_id", "msg_seq", "msg_type", "azimuth", "elevation", "radial_status", "elev_num"]
 
-    def latin(at: int, n: int) -> Column:
-        return F.decode(b.take(fixed, at, n), "ISO-8859-1")
-
-    return rads.select("volume_id", "msg_seq", "msg_type", "azimuth", F.explode("blocks").alias("blk")).select(
-        "volume_id",
-        "msg_seq",
-        "msg_type",
-        "azimuth",
-        "blk.block_no",
-        F.when(legacy, F.lit("L")).otherwise(latin(0, 1)).alias("kind"),
-        F.when(legacy, F.lit("REF")).otherwise(latin(1, 3)).alias("name"),
-        "blk.fixed",
-        "blk.gate_bytes",
-        "blk.gates",
-    )
 
+def block_rows(rads: DataFrame) -> DataFrame:
+    """One row per block with its fields in typed columns, null where another kind of block has them.
 
-def site_blocks(blocks: DataFrame) -> DataFrame:
-    """Volume blocks: location, height, coverage pattern and dual-polarization offsets."""
+    A radial without blocks, and a volume header, keep one row. The first row of a radial has ``leads`` set, so radials
+    can be read from here without the rest: in columnar storage every later step reads just its columns.
+    """
+    rows = rads.select(*RADIAL_COLUMNS, "head", F.posexplode_outer("blocks").alias("pos", "blk"))
     x = F.col("fixed")
-    return blocks.where((F.col("kind") != "L") & (F.col("name") == "VOL") & b.has_bytes(x, 0, VOLUME_BLOCK_BYTES)).select(
-        "volume_id",
-        "msg_seq",
+    rows = rows.select(*RADIAL_COLUMNS, "head", "pos", "blk.block_no", "blk.fixed", "blk.gates")
+    legacy = F.col("msg_type") == 1
+    kind = F.when(legacy, F.lit("L")).otherwise(F.decode(b.take(x, 0, 1), "ISO-8859-1"))
+    name = F.when(legacy, F.lit("REF")).otherwise(F.decode(b.take(x, 1, 3), "ISO-8859-1"))
+    rows = rows.withColumns({"kind": kind, "name": name, "_digits": F.hex(x)})
+    generic = F.col("kind") != "L"
+    site = generic & (F.col("name") == "VOL") & b.has_bytes(x, 0, VOLUME_BLOCK_BYTES)
+    span = generic & (F.col("name") == "RAD") & b.has_bytes(x, 0, RADIAL_BLOCK_BYTES)
+    old = legacy & b.has_bytes(x, 0, LEGACY_DATA_AT)
+    moment = (F.col("kind") == "D") & ~F.col("name").isin("VOL", "RAD") & b.has_bytes(x, 0, MOMENT_BLOCK_BYTES)
+
+    def u16(at: int) -> Column:
+        return F.conv(F.substring("_digits", 2 * at + 1, 4), 16, 10).cast("int")
+
+    def either(new: Column, before: Column) -> Column:
+        return F.when(moment, new).when(old, before)
+
+    return rows.select(
+        *RADIAL_COLUMNS,
+        "head",
+        F.coalesce(F.col("pos") == 0, F.lit(True)).alias("leads"),
         "block_no",
-        b.be_f32(x, 8).cast("double").alias("lat"),
-        b.be_f32(x, 12).cast("double").alias("lon"),
-        f.add(b.be_i16(x, 16), b.be_u16(x, 18)).alias("height_asl"),
-        b.be_f32(x, 32).alias("sys_diff_refl"),
-        b.be_f32(x, 36).alias("sys_diff_phase"),
-        b.be_u16(x, 40).alias("vcp"),
+        "kind",
+        "name",
+        F.when(site, b.be_f32(x, 8)).cast("double").alias("lat"),
+        F.when(site, b.be_f32(x, 12)).cast("double").alias("lon"),
+        F.when(site, f.add(b.be_i16(x, 16), u16(18))).alias("height_asl"),
+        F.when(site, b.be_f32(x, 32)).alias("sys_diff_refl"),
+        F.when(site, b.be_f32(x, 36)).alias("sys_diff_phase"),
+        F.when(site, u16(40)).alias("vcp"),
+        F.when(span, f.mul(u16(16), 0.01)).when(old, f.mul(u16(28), 0.1)).alias("nyquist"),
+        f.mul(F.when(span, u16(6)).when(old, u16(26)), 100.0).alias("unambiguous_range"),
+        either(u16(8), u16(24)).alias("num_gates"),
+        either(u16(10), u16(20)).cast("float").alias("first_gate"),
+        either(u16(12), u16(22)).cast("float").alias("gate_spacing"),
+        either(u16(18), F.lit(8)).alias("word"),
+        either(b.be_f32(x, 20), f.f32(2.0)).alias("scale"),
+        either(b.be_f32(x, 24), f.f32(66.0)).alias("offset"),
+        F.octet_length("gates").alias("gate_bytes"),
+        "gates",
     )
 
 
-def range_blocks(blocks: DataFrame) -> DataFrame:
+def radials_of(rows: DataFrame) -> DataFrame:
+    return rows.where((F.col("msg_type") != 0) & F.col("leads")).select(*RADIAL_COLUMNS)
+
+
+def site_blocks(rows: DataFrame) -> DataFrame:
+    """Volume blocks: location, height, coverage pattern and dual-polarization offsets."""
+    fields = ["lat", "lon", "height_asl", "sys_diff_refl", "sys_diff_phase", "vcp"]
+    return rows.where(F.col("vcp").isNotNull()).select("volume_id", "msg_seq", "block_no", *fields)
+
+
+def range_blocks(rows: DataFrame) -> DataFrame:
     """Nyquist velocity (m/s) and unambiguous range (m) of radial blocks and legacy radials; zero means "not given"."""
-    x = F.col("fixed")
-    legacy = F.col("kind") == "L"
-    need = F.when(legacy, F.lit(LEGACY_DATA_AT)).otherwise(F.lit(RADIAL_BLOCK_BYTES))
-    return blocks.where((legacy | (F.col("name") == "RAD")) & b.has_bytes(x, 0, need)).select(
-        "volume_id",
-        "msg_seq",
-        "block_no",
-        "msg_type",
-        F.when(legacy, f.mul(b.be_u16(x, 28), 0.1)).otherwise(f.mul(b.be_u16(x, 16), 0.01)).alias("nyquist"),
-        f.mul(F.when(legacy, b.be_u16(x, 26)).otherwise(b.be_u16(x, 6)), 100.0).alias("unambiguous_range"),
-    )
+    given = rows.where(F.col("nyquist").isNotNull())
+    return given.select("volume_id", "msg_seq", "block_no", "msg_type", "nyquist", "unambiguous_range")
 
 
-def moment_blocks(blocks: DataFrame, low_byte_word_size: bool = False) -> DataFrame:
+def moment_blocks(rows: DataFrame, low_byte_word_size: bool = False) -> DataFrame:
     """Moments that pass the checks, one row each, gates still packed. Legacy reflectivity is (raw - 66) / 2.
 
     ``low_byte_word_size`` reads only the low byte of the word size, for writers that use the high byte otherwise.
     """
-    x = F.col("fixed")
-    legacy = F.col("kind") == "L"
-    word = b.be_u8(x, 19) if low_byte_word_size else b.be_u16(x, 18)
-
-    def either(old: Column, new: Column) -> Column:
-        return F.when(legacy, old).otherwise(new)
-
-    is_moment = (F.col("kind") == "D") & ~F.col("name").isin("VOL", "RAD") & b.has_bytes(x, 0, MOMENT_BLOCK_BYTES)
-    rows = blocks.where(is_moment | (legacy & b.has_bytes(x, 0, LEGACY_DATA_AT))).select(
-        "volume_id",
-        "msg_seq",
-        "msg_type",
-        "block_no",
-        "azimuth",
-        "name",
-        either(b.be_u16(x, 24), b.be_u16(x, 8)).alias("num_gates"),
-        either(b.be_u16(x, 20), b.be_u16(x, 10)).cast("float").alias("first_gate"),
-        either(b.be_u16(x, 22), b.be_u16(x, 12)).cast("float").alias("gate_spacing"),
-        either(F.lit(8), F.when(word == 0, F.lit(8)).otherwise(word)).alias("word_size"),
-        either(f.f32(2.0), b.be_f32(x, 20)).alias("scale"),
-        either(f.f32(66.0), b.be_f32(x, 24)).alias("offset"),
-        "gate_bytes",
-        "gates",
-    )
+    word = F.col("word") % 256 if low_byte_word_size else F.col("word")
+    sized = rows.where(F.col("num_gates") > 0).withColumn("word_size", F.when(word == 0, F.lit(8)).otherwise(word))
     usable = (
         (F.col("num_gates") <= MAX_GATES)
         & (F.col("gate_spacing") != 0)
@@ -223,4 +210,6 @@ def moment_blocks(blocks: DataFrame, low_byte_word_size: bool = False) -> DataFr
         & ~F.isnan("scale")
     )
     complete = F.col("gate_bytes") >= F.col("num_gates") * F.col("word_size") / 8
-    return rows.where((F.col("num_gates") > 0) & ((F.col("msg_type") == 1) | usable) & complete)
+    kept = sized.where(((F.col("msg_type") == 1) | usable) & complete)
+    fields = ["num_gates", "first_gate", "gate_spacing", "word_size", "scale", "offset", "gates"]
+    return kept.select("volume_id", "msg_seq", "msg_type", "block_no", "azimuth", "name", *fields)

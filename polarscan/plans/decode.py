@@ -15,7 +15,7 @@ from ..sources import rda
 
 @dataclass(frozen=True)
 class Decoded:
-    """Tables of one decode. All are lazy views on the one written radial table, so columns not asked for are not read."""
+    """Tables of one decode. All are lazy views on the one written block table, so columns not asked for are not read."""
 
     radials: DataFrame
     sweeps: DataFrame
@@ -52,26 +52,22 @@ def decode(
 ) -> Decoded:
     """Decodes all requested products in one pass over the volumes.
 
-    The Python generator runs once: its radials are written to a table in the shared folder, and sweeps, metadata and
+    The Python generator runs once: its blocks are written to a table in the shared folder, and sweeps, metadata and
     moments read the columns they need from there. ``write_radials=False`` keeps everything lazy, for one-branch reads.
     """
     products = list(dict.fromkeys(products or pr.ALL_PRODUCTS))
     messages = framing.frame_messages(volumes, strict=strict, with_header=True)
-    stream = radials.attach_blocks(radials.radials(messages))
+    rows = radials.block_rows(radials.attach_blocks(radials.radials(messages)))
     if write_radials:
-        stream = materialize(stream, "radials")
-    heads = stream.where(F.col("msg_type") == 0).select("volume_id", "head").join(framing.hints(volumes), "volume_id")
-    rads = stream.where(F.col("msg_type") != 0)
-    narrow = rads.select("volume_id", "msg_seq", "msg_type", "azimuth", "elevation", "radial_status", "elev_num")
-    segmented = radials.sweep_segments(narrow)
+        rows = materialize(rows, "blocks")
+    heads = rows.where(F.col("msg_type") == 0).select("volume_id", "head").join(framing.hints(volumes), "volume_id")
+    segmented = radials.sweep_segments(radials.radials_of(rows))
     sweep_rows = metadata.sweeps(segmented)
     if write_radials:
         # A few dozen rows per volume that nearly every later step joins with.
         sweep_rows = materialize(sweep_rows, "sweeps")
-    blocks = radials.explode_blocks(rads)
-    sites = radials.site_blocks(blocks)
-    ranges = radials.range_blocks(blocks)
-    moment_rows = moments.for_products(radials.moment_blocks(blocks, low_byte_word_size), products)
+    sites, ranges = radials.site_blocks(rows), radials.range_blocks(rows)
+    moment_rows = moments.for_products(radials.moment_blocks(rows, low_byte_word_size), products)
     # Legacy radials carry reflectivity only, whatever the requested products' names start with.
     moment_rows = moment_rows.where((F.col("msg_type") == 31) | (F.col("moment_code") == 1))
     geometry = metadata.first_geometry(moment_rows, ["volume_id", "product"])
