@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -176,6 +177,34 @@ def cell_map(
     return gates, cell, bool(np.all(np.diff(cell) > 0))
 
 
+def _lines(batch: pa.RecordBatch, coding: tuple, grid: tuple) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rays, full-resolution rays, one line of grid codes per row), for each set of rows with equal gate layout."""
+    held = batch.filter(pc.is_valid(batch.column("gates")))
+    if not held.num_rows:
+        return
+    layout = np.stack([held.column(c).to_numpy(zero_copy_only=False).astype("f8") for c in _LAYOUT])
+    kinds, which = np.unique(layout, axis=1, return_inverse=True)
+    rays, full = held.column("ray").to_numpy(), held.column("full_ray").to_numpy()
+    for i, (n, word, scale, offset, first, spacing) in enumerate(kinds.T.tolist()):
+        n, word = int(n), int(word)
+        at = np.flatnonzero(which.reshape(-1) == i)
+        packed = b"".join(x[: n * word // 8] for x in held.column("gates").take(pa.array(at)).to_pylist())
+        codes = code_table(word, offset, scale, *coding)[decode_gates(packed, n * len(at), word).reshape(len(at), n)]
+        gates, cell, distinct = cell_map(n, first, spacing, *grid)
+        lines = np.zeros((len(at), grid[2]), "u1")
+        if distinct:
+            lines[:, cell] = codes[:, gates]
+        else:
+            for line, line_codes in zip(lines, codes):
+                np.maximum.at(line, cell, line_codes[gates])
+        yield rays[at], full[at], lines
+
+
+def _raise_rows(grid: np.ndarray, rows: np.ndarray, lines: np.ndarray) -> None:
+    for row, line in zip(rows, lines):
+        np.maximum(grid[row], line, out=grid[row])
+
+
 def _pack(grid: np.ndarray) -> tuple[bytes, bytes]:
     flat = grid.reshape(-1)
     return np.packbits(flat > 0).tobytes(), flat[flat > 0].tobytes()
@@ -243,24 +272,13 @@ def pack_tilts(
         low, high = ranges.get(product, default_range)
         grid = np.zeros((num_rays, ngates), "u1")
         slab = np.zeros((FULL_RAYS, ngates), "u1")
-        floor_at = -32.0 if code == 1 else None
+        coding = (-32.0 if code == 1 else None, low, high, truncate)
         for batch in batches:
-            cols = batch.select(list(_RAY_COLS)).to_pydict()
-            for ray, full, n, word, scale, offset, m_first, m_spacing, packed in zip(*(cols[c] for c in _RAY_COLS)):
-                if packed is None:
-                    continue
-                codes = code_table(word, offset, scale, floor_at, low, high, truncate)[decode_gates(packed, n, word)]
-                gates, cell, distinct = cell_map(n, m_first, m_spacing, first, spacing, ngates)
-                line = np.zeros(ngates, "u1")
-                if distinct:
-                    line[cell] = codes[gates]
-                else:
-                    np.maximum.at(line, cell, codes[gates])
-                np.maximum(grid[ray], line, out=grid[ray])
-                np.maximum(slab[full], line, out=slab[full])
+            for at, full, lines in _lines(batch, coding, (first, spacing, ngates)):
+                _raise_rows(grid, at, lines)
+                _raise_rows(slab, full, lines)
                 if fill and num_rays < FULL_RAYS:
-                    after = (full + 1) % FULL_RAYS
-                    np.maximum(slab[after], line, out=slab[after])
+                    _raise_rows(slab, (full + 1) % FULL_RAYS, lines)
         mask, values = _pack(grid)
         slab_mask, slab_values = _pack(slab)
         row = [volume_id, product, tilt_idx, tilt, num_rays, ngates, mask, values, slab_mask, slab_values]
@@ -269,7 +287,7 @@ def pack_tilts(
     return rays.groupBy(*_PACK_KEYS).applyInArrow(run, schemas.TILT_PACKS)
 
 
-_RAY_COLS = ("ray", "full_ray", "num_gates", "word_size", "scale", "offset", "m_first", "m_spacing", "gates")
+_LAYOUT = ("num_gates", "word_size", "scale", "offset", "m_first", "m_spacing")
 _PACK_ARROW = pa.schema(
     [
         ("volume_id", pa.string()),

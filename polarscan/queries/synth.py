@@ -1,6 +1,7 @@
 """Binary volumes written by Spark from the events table, so that decode queries work on data that grows with it.
 
-A volume is one user's events within a block of 4096 event ids, so a busy user spreads over many volumes. Everything
+A volume is one user's events within a block of 65536 event ids, so a busy user spreads over many volumes, each well
+below the message limit of framing. Everything
 but the bzip2 compression is Spark expressions on hex text.
 """
 
@@ -21,7 +22,7 @@ from ..functions import timekeys as t
 from ..session import scratch_path
 from . import mapping as m
 
-BLOCK_IDS = 4096
+BLOCK_IDS = 65536
 RECORD_RADIALS = 8
 GATES, STRIDE = 400, 50
 VEL_GATES = 20
@@ -132,7 +133,7 @@ def build_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(key: str) -> Column:
         return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, "x"))), lambda s: s["x"]), "")
 
-    # At most 4096 radials per volume and eight per record, by the volume key.
+    # At most 65536 radials per volume and eight per record, by the volume key.
     records = radial.groupBy("volume_id", "user_id", "record").agg(joined("event_id").alias("x"))
     form = F.col("user_id") % 3
     sized = records.where(form == 0).withColumn("z", bzip2(F.unhex("x")))
@@ -160,7 +161,9 @@ def volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         path = scratch_path(spark, "volumes")
-        build_volumes(spark, sf_dir).write.parquet(path)
+        # One file per task slot: unpacking is far more work than its few bytes suggest.
+        files = spark.sparkContext.defaultParallelism
+        build_volumes(spark, sf_dir).repartition(files, "volume_id").write.parquet(path)
         _written[key] = path
     return spark.read.parquet(_written[key])
 
