@@ -19,7 +19,8 @@ def station_stats(audit: DataFrame) -> DataFrame:
         F.sum("frames_fetched").alias("frames_fetched"),
         F.sum("frames_failed").alias("frames_failed"),
         F.max("fetch_ns").alias("last_fetch_ns"),
-        F.max_by(F.when(fetched, F.col("timestamp")), F.when(fetched, F.col("fetch_ns"))).alias("last_frame_timestamp"),
+        # Objects of a batch are fetched in parallel, so the latest frame is the one with the latest timestamp.
+        F.max(F.when(fetched, F.col("timestamp"))).alias("last_frame_timestamp"),
         F.max("key").alias("last_processed_key"),
     )
 
