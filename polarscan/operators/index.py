@@ -134,6 +134,10 @@ class CommitLog:
         base = snapshots[-1:]
         return [("snapshot", n) for n in base] + [("log", n) for n in log if not base or n > base[0]]
 
+    def length(self) -> int:
+        """Commits a read has to merge."""
+        return len(self._sources())
+
     def read(self) -> DataFrame:
         schema = f"{self.schema}, deleted boolean, commit int"
         sources = self._sources()

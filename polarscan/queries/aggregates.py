@@ -166,10 +166,14 @@ def bitmask_rank(spark, sf):
       count(*) AS pieces FROM lineitem GROUP BY 1"""
 )
 def bytes_concat(spark, sf):
-    """Pieces put together in order, as bytes; an order has at most a few dozen lines."""
-    piece = F.struct("l_linenumber", F.concat("l_returnflag", "l_linestatus").alias("p"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda x: F.lower(F.hex(x["p"].cast("binary")))), "")
-    return m.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(joined.alias("bytes_hex"), F.count("*").alias("pieces"))
+    """Pieces put together in order, as bytes. Equal pieces are counted first, so an order with very many lines still
+    brings only a few dozen rows together."""
+    keys = ["l_orderkey", "l_linenumber"]
+    piece = F.concat("l_returnflag", "l_linestatus").alias("p")
+    runs = m.table(spark, sf, "lineitem").groupBy(*keys, piece).agg(F.count("*").alias("n"))
+    in_order = F.array_sort(F.collect_list(F.struct("l_linenumber", "p", "n")))
+    joined = F.array_join(F.transform(in_order, lambda x: F.repeat(F.lower(F.hex(x["p"].cast("binary"))), x["n"].cast("int"))), "")
+    return runs.groupBy("l_orderkey").agg(joined.alias("bytes_hex"), F.sum("n").alias("pieces"))
 
 
 @query(
