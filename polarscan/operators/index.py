@@ -129,8 +129,10 @@ class CommitLog:
         empty = [f for f in self.spark.createDataFrame([], self.schema).schema.fields if f.name not in names]
         return self.append(keys.withColumns({f.name: F.lit(None).cast(f.dataType) for f in empty}), commit, deleted=True)
 
-    def _sources(self) -> list[tuple[str, int]]:
+    def _sources(self, before: int | None = None) -> list[tuple[str, int]]:
         snapshots, log = self._numbers("snapshot"), self._numbers("log")
+        if before is not None:
+            snapshots, log = [n for n in snapshots if n < before], [n for n in log if n < before]
         base = snapshots[-1:]
         return [("snapshot", n) for n in base] + [("log", n) for n in log if not base or n > base[0]]
 
@@ -138,9 +140,10 @@ class CommitLog:
         """Commits a read has to merge."""
         return len(self._sources())
 
-    def read(self) -> DataFrame:
+    def read(self, before: int | None = None) -> DataFrame:
+        """Current rows, or those before a commit: a replayed batch must not see what its first attempt left."""
         schema = f"{self.schema}, deleted boolean, commit int"
-        sources = self._sources()
+        sources = self._sources(before)
         columns = [f.name for f in self.spark.createDataFrame([], self.schema).schema.fields]
         if not sources:
             return self.spark.createDataFrame([], self.schema)

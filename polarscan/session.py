@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from .sources import fs
+
 CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -60,6 +65,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_scope = threading.local()
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Drops the tables that ``materialize`` writes inside the scope when it ends; results must be stored by then."""
+    outer = getattr(_scope, "paths", None)
+    _scope.paths = []
+    try:
+        yield
+    finally:
+        for path in _scope.paths:
+            fs.delete(spark, path)
+        _scope.paths = outer
+
+
 def materialize(df, name: str):
     """Write ``df`` to a table in the shared folder and read it back.
 
@@ -68,5 +89,7 @@ def materialize(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

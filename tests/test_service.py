@@ -15,7 +15,7 @@ from polarscan.plans.engine import Engine
 from polarscan.plans.store import FrameStore
 from polarscan.sources import rda, volumes
 from polarscan.sources.containers import gzip_best
-from polarscan.streaming import listing, stats
+from polarscan.streaming import ingest, listing, stats
 
 DAY, NOW = "2026/02/13", "2026-02-13"
 
@@ -158,9 +158,27 @@ def test_service_ingests_two_drops_and_restarts(spark, tmp_path):
     assert metrics["frames_fetched"] == 10 and metrics["frames_failed"] == 0 and metrics["success_rate"] == 100.0
     assert metrics["station_stats"]["KTLX"]["last_frame_timestamp"] == "20260213_060000"
     assert stats.dashboard(again.station_stats()).count() == 2 and metrics["frame_count"] == 12
+    left = [p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir() if p.name.startswith("fetched-")]
+    assert left == [], "tables of a finished batch are dropped"
     assert again.status()["fetcher_running"] is False and again.pause()["status"] == "already paused"
 
 
+def test_replayed_batch_changes_nothing(spark, tmp_path):
+    root = tmp_path / "objects"
+    drop(root, "KTLX", "010000", volume())
+    key = f"{DAY}/KTLX/KTLX20260213_010000_V06"
+    keys = spark.createDataFrame([("KTLX", key, str(root), "")], "station string, key string, bucket string, timestamp string")
+    store = FrameStore(spark, str(tmp_path / "store"))
+    config = Config(products=("reflectivity",))
+    ingest.ingest_batch(keys, 3, store, config)
+    before = sorted(map(tuple, store.index().collect()))
+    ingest.ingest_batch(keys, 3, store, config)
+    assert len(before) == 3 and sorted(map(tuple, store.index().collect())) == before
+    assert store.audit().first()["frames_fetched"] == 2
+    ingest.ingest_batch(keys, 4, store, config)
+    assert sorted(map(tuple, store.index().collect())) == before and store.audit().count() == 1
+
+
 def test_failed_fetches_are_recorded(spark, tmp_path):
     drop(tmp_path, "KTLX", "010000", volume())
     key = f"{DAY}/KTLX/KTLX20260213_010000_V06"
