@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from . import rules
+from . import crf, packing, rules, secrets, simhash
 
-QUERIES = {"op10_quality_rules": rules.op10_quality_rules}
+QUERIES = {
+    build.__name__: build
+    for build in (
+        packing.op3_best_fit_packing,
+        crf.op4_quality_crf,
+        simhash.op6_simhash,
+        secrets.op7_secret_scan,
+        rules.op10_quality_rules,
+    )
+}
 SQL = {"op10_quality_rules": rules.SQL}
