@@ -91,3 +91,18 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 def as_texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
+
+
+def bucketed(frame: DataFrame, key: str, name: str) -> DataFrame:
+    """Like ``staged``, but bucketed by ``key``: joins and groups on the key read it where it lies, without a shuffle."""
+    spark = frame.sparkSession
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    title = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{title}"
+    _written.append((spark, path))
+    frame.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, key).saveAsTable(title)
+    return spark.table(title)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import crf, packing, rules, secrets, simhash
+from . import bpe, crf, packing, rules, secrets, simhash
 
 QUERIES = {
     build.__name__: build
     for build in (
+        bpe.op2_word_table_bpe,
         packing.op3_best_fit_packing,
         crf.op4_quality_crf,
         simhash.op6_simhash,
