@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, crf, packing, rules, secrets, simhash
+from . import bpe, crf, lm, packing, rules, secrets, simhash
 
 QUERIES = {
     build.__name__: build
@@ -12,6 +12,7 @@ QUERIES = {
         crf.op4_quality_crf,
         simhash.op6_simhash,
         secrets.op7_secret_scan,
+        lm.op9_log_bilinear,
         rules.op10_quality_rules,
     )
 }
