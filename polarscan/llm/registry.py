@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, crf, lm, packing, rules, secrets, simhash
+from . import bpe, crf, lm, packing, rules, secrets, simhash, toxicity
 
 QUERIES = {
     build.__name__: build
     for build in (
+        toxicity.op1_toxicity_grammar,
         bpe.op2_word_table_bpe,
         packing.op3_best_fit_packing,
         crf.op4_quality_crf,
