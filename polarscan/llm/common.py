@@ -50,11 +50,17 @@ def bounded_training(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame
 _written: list[tuple[SparkSession, str]] = []
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared folder, dropped at exit."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def staged(frame: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back, so that lost executors re-read files; dropped at exit."""
     spark = frame.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
+    path = shared_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, crf, lm, packing, rules, secrets, simhash, toxicity
+from . import bpe, crf, lm, packing, rules, secrets, simhash, toxicity, warc
 
 QUERIES = {
     build.__name__: build
@@ -11,10 +11,11 @@ QUERIES = {
         bpe.op2_word_table_bpe,
         packing.op3_best_fit_packing,
         crf.op4_quality_crf,
+        warc.op5_warc,
         simhash.op6_simhash,
         secrets.op7_secret_scan,
         lm.op9_log_bilinear,
         rules.op10_quality_rules,
     )
 }
-SQL = {"op10_quality_rules": rules.SQL}
+SQL = {"op5_warc": warc.SQL, "op10_quality_rules": rules.SQL}
