@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, crf, lm, packing, rules, secrets, simhash, toxicity, warc
+from . import bpe, crf, lm, nndescent, packing, rules, secrets, simhash, toxicity, warc
 
 QUERIES = {
     build.__name__: build
@@ -14,6 +14,7 @@ QUERIES = {
         warc.op5_warc,
         simhash.op6_simhash,
         secrets.op7_secret_scan,
+        nndescent.op8_nn_descent,
         lm.op9_log_bilinear,
         rules.op10_quality_rules,
     )
