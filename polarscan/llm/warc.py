@@ -6,7 +6,7 @@ those with the largest id are responses and the others revisit records without a
 
 Reading plans partitions of whole files, small ones together. Predicates on the header columns (record type, id, digest,
 length, URI, reference) are pushed down: a record's header is parsed first, and if a predicate fails, or payloads are not
-asked for, its block is skipped by its length and never decoded. The files to read and their sizes come from Spark's own file
+asked for, its block is skipped by its length and never decoded (in a plain file it is not even read). The files to read and their sizes come from Spark's own file
 systems; tasks open them through Arrow's.
 
 Defined results: null payloads are empty; null URIs and ids have no header; equal rows with the largest id are all responses;
@@ -95,8 +95,8 @@ def roles(pages: DataFrame, least_bytes: int) -> DataFrame:
     )
 
 
-def write(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """Writes a record per row of (page_id, url, html)."""
+def write(pages: DataFrame, path: str, least_bytes: int = 0, compression: str = "gzip") -> None:
+    """Writes a record per row of (page_id, url, html). ``compression`` is gzip or none."""
     rows = roles(pages, least_bytes)
     revisit = F.col("record_type") == "revisit"
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n"))
@@ -117,7 +117,7 @@ def write(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
         F.lit("\r\n"),
         block,
     )
-    rows.select(record.alias("value")).write.option("lineSep", CLOSE).text(path)
+    rows.select(record.alias("value")).write.option("lineSep", CLOSE).option("compression", compression).text(path)
 
 
 class FilePartition(InputPartition):
@@ -182,44 +182,62 @@ class WarcReader(DataSourceReader):
 
     def _records(self, path: str) -> Iterator[dict]:
         system, name = open_file_system(path)
-        with system.open_input_file(name) as raw:
-            size, at = raw.size(), 0
-            window = Window(raw, size)
-            while at < size:
-                end = window.find(at, b"\r\n\r\n")
-                if end < 0:
-                    return
-                head = window.read(at, end)
+        if name.endswith(".gz"):
+            opened = system.open_input_stream(name, compression="gzip")
+        else:
+            opened = system.open_input_file(name)
+        with opened as raw:
+            ahead = Ahead(raw, seekable=not name.endswith(".gz"))
+            while (head := ahead.until(b"\r\n\r\n")) is not None:
                 fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:] if b": " in line)
-                length, block = int(fields[b"Content-Length"]), end + 4
-                at = block + length + len(CLOSE)
+                length = int(fields[b"Content-Length"])
                 row = columns_of(fields)
-                if not self._passes(row):
-                    continue
-                if self.payload and row["record_type"] == "response":
-                    row["payload"] = window.read(block, block + length).split(b"\r\n\r\n", 1)[1]
-                yield row
-
-
-class Window:
-    """Reads ahead in pieces, and starts anew where a seek leaves the piece: skipped blocks are not read."""
-
-    def __init__(self, raw, size: int, ahead: int = 1 << 16):
-        self.raw, self.size, self.ahead, self.start, self.data = raw, size, ahead, 0, b""
-
-    def read(self, low: int, high: int) -> bytes:
-        if low < self.start or high > self.start + len(self.data):
-            self.raw.seek(low)
-            self.start, self.data = low, self.raw.read(max(high - low, min(self.ahead, self.size - low)))
-        return self.data[low - self.start : high - self.start]
-
-    def find(self, low: int, mark: bytes) -> int:
-        high = min(self.size, low + 2048)
-        while True:
-            found = self.read(low, high).find(mark)
-            if found >= 0 or high == self.size:
-                return low + found if found >= 0 else -1
-            high = min(self.size, low + 2 * (high - low))
+                passes = self._passes(row)
+                if passes and self.payload and row["record_type"] == "response":
+                    row["payload"] = ahead.take(length).split(b"\r\n\r\n", 1)[1]
+                else:
+                    ahead.skip(length)
+                ahead.skip(len(CLOSE))
+                if passes:
+                    yield row
+
+
+class Ahead:
+    """Reads a file in pieces. What is skipped is jumped over in a plain file, and in a compressed one inflated and dropped
+    piece by piece."""
+
+    def __init__(self, raw, seekable: bool, piece: int = 1 << 16):
+        self.raw, self.seekable, self.piece, self.data = raw, seekable, piece, b""
+
+    def _more(self, least: int = 0) -> bool:
+        got = self.raw.read(max(least, self.piece))
+        self.data += got
+        return bool(got)
+
+    def until(self, mark: bytes) -> bytes | None:
+        """What stands before the next mark, which is passed; None at the end of the file."""
+        seen = 0
+        while (at := self.data.find(mark, max(0, seen - len(mark)))) < 0:
+            seen = len(self.data)
+            if not self._more():
+                return None
+        found, self.data = self.data[:at], self.data[at + len(mark) :]
+        return found
+
+    def take(self, n: int) -> bytes:
+        while len(self.data) < n and self._more(n - len(self.data)):
+            pass
+        found, self.data = self.data[:n], self.data[n:]
+        return found
+
+    def skip(self, n: int) -> None:
+        here = min(n, len(self.data))
+        self.data, n = self.data[here:], n - here
+        if n and self.seekable:
+            self.raw.seek(self.raw.tell() + n)
+            return
+        while n and (got := self.raw.read(min(n, self.piece))):
+            n -= len(got)
 
 
 def columns_of(fields: dict[bytes, bytes]) -> dict:
