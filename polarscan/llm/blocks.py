@@ -75,7 +75,9 @@ class _Block:
         return pa.RecordBatch.from_arrays(arrays, names=["block", "doc_ids", "held_out", "sizes", "codes", "words", "uses"])
 
 
-def blocks_of(docs: DataFrame, split: Callable[[bytes], list], folds: int = 1, held_out: int = 1) -> DataFrame:
+def blocks_of(
+    docs: DataFrame, split: Callable[[bytes], list], folds: int = 1, held_out: int = 1, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """The written table of blocks. ``split`` gives a text's words; ``uses`` counts a word in texts that are not held out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +86,7 @@ def blocks_of(docs: DataFrame, split: Callable[[bytes], list], folds: int = 1, h
         for batch in batches:
             held = batch.column(1).to_pylist()
             for doc_id, out, text in zip(batch.column(0).to_pylist(), held, as_bytes(batch.column(2))):
-                if block.bytes and block.bytes + len(text) > BLOCK_BYTES:
+                if block.bytes and block.bytes + len(text) > block_bytes:
                     yield block.row(number)
                     number, block = number + 1, _Block()
                 block.add(doc_id, out, split(text), len(text))

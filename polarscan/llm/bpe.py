@@ -1,8 +1,9 @@
 """BPE encoding and decoding by a distinct-word table.
 
 Documents are split into words in Spark tasks exactly as the tokenizer's normaliser and splitter do; each distinct word is
-encoded once; its ids come back to all its positions. For decoding, the ids of each distinct word are joined with the table of
-id and piece, whose size is that of the vocabulary file, and the pieces come back by position in the same way.
+encoded once; its ids come back to all its positions. For decoding, the ids of a block's distinct words are joined with the
+table of id and piece, which every task holds (its size is that of the vocabulary file), and the pieces come back by position
+in the same way.
 
 Defined results: null and empty texts, and texts of white space, have no tokens; equal rows stay rows; the special tokens'
 strings in a text are the special tokens, as with the library.
@@ -26,6 +27,8 @@ from pyspark.sql.pandas.functions import pandas_udf
 from .blocks import blocks_of, unpack_codes, with_words, word_rows
 from .common import shuffle_partitions, table
 
+BLOCK_BYTES = 32 << 20  # larger blocks hold fewer distinct words per token
+
 # Texts of these characters only are in composed form and split alike by the two patterns below, of which one is faster.
 SIMPLE = re.compile(r"[\t-\r -~À-ÖØ-öø-ɏ«»¡¿–—‘’“”…€]*")
 FAST = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
@@ -73,74 +76,68 @@ class Splitter:
 
 
 def _encoder(path: str):
-    @pandas_udf("array<int>")
+    @pandas_udf("binary")
     def encode(words: pd.Series) -> pd.Series:
-        return pd.Series([e.ids for e in _tokenizer(path).encode_batch(words.tolist(), add_special_tokens=False)])
+        found = _tokenizer(path).encode_batch(words.tolist(), add_special_tokens=False)
+        return pd.Series([np.array(e.ids, dtype="<u4").tobytes() for e in found])
 
     return encode.asNondeterministic()  # else the optimiser also runs it below the aggregate, once per block
 
 
-def pieces(spark, path: str) -> DataFrame:
-    """(id, piece) of the vocabulary, special tokens included."""
+def piece_table(path: str) -> pa.Array:
+    """The pieces by id, special tokens included: the side of the decoding join that every task holds. Its size is that of
+    the vocabulary file."""
     vocab = _tokenizer(path).get_vocab(with_added_tokens=True)
-    return spark.createDataFrame(pa.table({"id": pa.array(list(vocab.values()), pa.int32()), "piece": pa.array(list(vocab))}))
+    by_id: list = [None] * (max(vocab.values()) + 1)
+    for piece, number in vocab.items():
+        by_id[number] = piece
+    return pa.array(by_id, pa.string())
 
 
 def word_table(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids, decoded): each distinct word encoded once, and its ids decoded by the join with the pieces, whose size is
-    that of the vocabulary. ``words`` is dealt by word; the condition reads all its columns, so that Spark reuses that
-    exchange here instead of dealing the words a second time."""
+    """(word, ids): each distinct word encoded once, ids as little-endian 32-bit integers. ``words`` is dealt by word; the
+    condition reads all its columns, so that Spark reuses that exchange here instead of dealing the words a second time."""
     whole = (F.count("code") > 0) & (F.max("home") >= 0)
-    encoded = words.groupBy("word").agg(whole.alias("whole")).where("whole").withColumn("ids", _encoder(path)("word"))
-    single = encoded.select("word", "ids", F.posexplode("ids").alias("at", "id"))
-    joined = single.join(F.broadcast(pieces(words.sparkSession, path)), "id")
-    ordered = F.array_sort(F.collect_list(F.struct("at", "id", "piece")))
-    return joined.groupBy("word").agg(ordered.alias("p")).select(
-        "word", F.col("p.id").alias("ids"), F.array_join(F.col("p.piece"), " ").alias("decoded")
-    )
-
-
-def _rows(block: dict, facts: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
-    """ids of all words of the block in a row, where each word's begin and how many they are, and the decoded words. A word
-    without an id has no row in the table and gets none here."""
+    return words.groupBy("word").agg(whole.alias("whole")).where("whole").select("word", _encoder(path)("word").alias("ids"))
+
+
+def texts_of(block: dict, facts: pa.Table, path: str):
+    """(doc_id, ids, decoded text) of each document of a block: the ids of the block's words are joined to their pieces,
+    and both come back to the words' positions."""
     codes = unpack_codes(block["codes"])
     known = facts.column("code").to_numpy()
+    raw = facts.column("ids").to_pylist()
     n = int(max(codes.max(initial=-1), known.max(initial=-1))) + 1
-    lists = facts.column("ids").combine_chunks()
     count, begin = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    count[known] = lists.value_lengths().to_numpy()
-    begin[known] = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+    sizes = np.array([len(r) // 4 for r in raw], dtype=np.int64)
+    count[known], begin[known] = sizes, np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(raw), "<u4")
+    pieces = piece_table(path).take(pa.array(flat)).to_pylist()
     decoded: list = [None] * n
-    for code, text in zip(known.tolist(), facts.column("decoded").to_pylist()):
-        decoded[code] = text
-    return lists.flatten().to_numpy(), begin, count, decoded
-
-
-def texts_of(block: dict, facts: pa.Table):
-    """(doc_id, ids, decoded text) of each document of a block."""
-    flat, begin, count, decoded = _rows(block, facts)
-    codes = unpack_codes(block["codes"])
+    for code, low, k in zip(known.tolist(), begin[known].tolist(), sizes.tolist()):
+        if k:
+            decoded[code] = " ".join(pieces[low : low + k])
     end = 0
     for doc_id, size in zip(block["doc_ids"], block["sizes"]):
         own = codes[end : end + size]
         end += size
-        n = count[own]
-        at = np.repeat(begin[own] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        k = count[own]
+        at = np.repeat(begin[own] - np.cumsum(k) + k, k) + np.arange(int(k.sum()))
         yield doc_id, flat[at], " ".join([d for d in map(decoded.__getitem__, own.tolist()) if d is not None])
 
 
 def _blocks_and_facts(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    blocks = blocks_of(docs, Splitter(path))
+    blocks = blocks_of(docs, Splitter(path), block_bytes=BLOCK_BYTES)
     words = word_rows(blocks).select("home", "code", "word").repartition(shuffle_partitions(docs.sparkSession), "word")
-    return blocks, words.join(word_table(words, path).hint("merge"), "word").select("home", "code", "ids", "decoded")
+    return blocks, words.join(word_table(words, path).hint("merge"), "word").select("home", "code", "ids")
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids and the decoded text of every document."""
 
     def run(block: dict, facts: pa.Table) -> pa.Table:
-        rows = list(zip(*texts_of(block, facts)))
-        return pa.table({"doc_id": pa.array(rows[0], pa.int64()), "ids": pa.array(rows[1], pa.list_(pa.int32())), "decoded": pa.array(rows[2])})
+        rows = list(zip(*texts_of(block, facts, path)))
+        return pa.table({"doc_id": pa.array(rows[0], pa.int64()), "ids": pa.array([r.astype(np.int32) for r in rows[1]], pa.list_(pa.int32())), "decoded": pa.array(rows[2])})
 
     return with_words(*_blocks_and_facts(docs, path), run, "doc_id long, ids array<int>, decoded string")
 
@@ -151,7 +148,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     def run(block: dict, facts: pa.Table) -> pa.Table:
         rows = [
             (doc_id, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
-            for doc_id, ids, text in texts_of(block, facts)
+            for doc_id, ids, text in texts_of(block, facts, path)
         ]
         kinds = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
         return pa.table({name: pa.array(c, k) for (name, k), c in zip(kinds.items(), zip(*rows))})
