@@ -49,6 +49,16 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@functools.lru_cache(maxsize=4)
+def _word_tokenizer(path: str):
+    """For words that the splitter has normalised already: a second pass could reorder marks."""
+    from tokenizers import Tokenizer, normalizers
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.normalizer = normalizers.Sequence([])
+    return tokenizer
+
+
 class Splitter:
     """Words of a text as the tokenizer sees them; a special token's string is one word."""
 
@@ -78,7 +88,7 @@ class Splitter:
 def _encoder(path: str):
     @pandas_udf("binary")
     def encode(words: pd.Series) -> pd.Series:
-        found = _tokenizer(path).encode_batch(words.tolist(), add_special_tokens=False)
+        found = _word_tokenizer(path).encode_batch(words.tolist(), add_special_tokens=False)
         return pd.Series([np.array(e.ids, dtype="<u4").tobytes() for e in found])
 
     return encode.asNondeterministic()  # else the optimiser also runs it below the aggregate, once per block
