@@ -7,7 +7,8 @@ logistic curve.
 
 Training reads a bounded sample: at most ``TRAIN_ROWS`` labelled ids, of which texts with over ``TRAIN_LINES`` lines are left
 out; scoring reads every whole text. Defined results: texts without a word (null and empty ones too) score 0; a one-line text
-is a chain of one; with no labelled row of one class every text with words scores that class's side of the untrained curve.
+is a chain of one; if the labelled rows know bad texts only, every text with words scores near 0, and if they know no bad one
+(or there are none), near 1, so that a filter without evidence keeps.
 """
 
 from __future__ import annotations
@@ -144,6 +145,7 @@ def train(x: np.ndarray, weights: np.ndarray, lengths: np.ndarray, y: np.ndarray
     """Maximum likelihood with all lines labelled as their document, by Adam; then the logistic curve on the qualities."""
     chain = Chain(np.zeros(WIDTH), np.zeros((2, 2)))
     if len(x) == 0 or len(set(y.tolist())) < 2:
+        chain.slope, chain.offset = 0.0, -5.0 if 0 in y.tolist() else 5.0
         return chain
     line_y = np.repeat(y, lengths).astype(float)
     pairs_seen = np.diag([(lengths - 1)[(y == c) & (lengths > 0)].sum() for c in (0, 1)]).astype(float)

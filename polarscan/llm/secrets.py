@@ -163,19 +163,19 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     that Spark broadcasts it only below the broadcast threshold."""
     added = staged(linked(staged(scan(docs).where("size(parts) > 0"), "secret-parts")), "secret-links")
     keyed = docs.withColumn("digest", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    counted = "n_chars" in docs.columns
+    names, at_text = docs.columns, docs.columns.index("text")
+    at_count = names.index("n_chars") if "n_chars" in names else None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         at = {name: i for i, name in enumerate(batch.schema.names)}
         old = batch.column(at["text"]).to_pylist()
         new = [None if t is None else blot(t, more or [], mark) for t, more in zip(old, batch.column(at["added"]).to_pylist())]
-        arrays = [batch.column(at[c]) for c in docs.columns]
-        arrays[docs.columns.index("text")] = pa.array(new, pa.string())
-        if counted:
-            kind = arrays[docs.columns.index("n_chars")].type
-            kept = arrays[docs.columns.index("n_chars")].to_pylist()
-            arrays[docs.columns.index("n_chars")] = pa.array([k if a == b else len(b) for a, b, k in zip(old, new, kept)], kind)
-        return pa.RecordBatch.from_arrays(arrays, names=docs.columns)
+        arrays = [batch.column(at[c]) for c in names]
+        arrays[at_text] = pa.array(new, pa.string())
+        if at_count is not None:
+            counts = arrays[at_count]
+            arrays[at_count] = pa.array([k if a == b else len(b) for a, b, k in zip(old, new, counts.to_pylist())], counts.type)
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
     return map_batches(_joined(keyed, added), run, docs.schema)
 
