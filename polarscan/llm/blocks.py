@@ -104,11 +104,10 @@ def word_rows(blocks: DataFrame) -> DataFrame:
 
 
 def with_words(blocks: DataFrame, facts: DataFrame, apply: Callable, schema: str) -> DataFrame:
-    """Brings (home, code, ...) rows back to their blocks: ``apply(block row, facts by code)`` gives rows per document."""
+    """Brings (home, ...) rows back to their blocks: ``apply(block row, facts)`` gives rows per document."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        facts_by_code = right.sort_by("code")
-        return apply(left.slice(0, 1).to_pylist()[0], facts_by_code)
+        return apply(left.slice(0, 1).to_pylist()[0], right)
 
     kept = blocks.select("block", "doc_ids", "held_out", "sizes", "codes")
     return kept.groupBy("block").cogroup(facts.groupBy("home")).applyInArrow(run, schema)

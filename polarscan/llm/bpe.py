@@ -1,7 +1,7 @@
 """BPE encoding and decoding by a distinct-word table.
 
-Documents are split into words in Spark tasks exactly as the tokenizer's normaliser and splitter do; each distinct word is
-encoded once; its ids come back to all its positions. For decoding, the ids of a block's distinct words are joined with the
+Documents are split into words in Spark tasks exactly as the tokenizer's normaliser and splitter do. The distinct words of all
+blocks are shuffled and sorted by word: that is the word table, each run of equal words one entry, which is encoded once; its ids come back to all its positions. For decoding, the ids of a block's distinct words are joined with the
 table of id and piece, which every task holds (its size is that of the vocabulary file), and the pieces come back by position
 in the same way.
 
@@ -15,14 +15,12 @@ import functools
 import hashlib
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import pandas_udf
 
 from .blocks import blocks_of, unpack_codes, with_words, word_rows
 from .common import shuffle_partitions, table
@@ -85,13 +83,35 @@ class Splitter:
         return EXACT.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
 
-def _encoder(path: str):
-    @pandas_udf("binary")
-    def encode(words: pd.Series) -> pd.Series:
-        found = _word_tokenizer(path).encode_batch(words.tolist(), add_special_tokens=False)
-        return pd.Series([np.array(e.ids, dtype="<u4").tobytes() for e in found])
-
-    return encode.asNondeterministic()  # else the optimiser also runs it below the aggregate, once per block
+def _encode_runs(path: str):
+    """Rows (home, code, word) of a partition, sorted by word, are its part of the distinct-word table: each run of equal
+    words is one entry and is encoded once. Gives packed rows (home, codes, lengths, ids), one per block and batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, last_ids = None, b""
+        for batch in batches:
+            words = batch.column(2).to_pylist()
+            if not words:
+                continue
+            new = np.array([a != b for a, b in zip([last, *words], words)])
+            distinct = [w for w, first in zip(words, new.tolist()) if first]
+            found = _word_tokenizer(path).encode_batch(distinct, add_special_tokens=False)
+            ids = [last_ids, *(np.array(e.ids, dtype="<u4").tobytes() for e in found)]
+            of = np.cumsum(new)
+            last, last_ids = words[-1], ids[-1]
+            home, code = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            order = np.argsort(home, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, np.diff(home[order]) != 0, True])
+            rows = []
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                at = order[low:high]
+                own = [ids[k] for k in of[at].tolist()]
+                lengths = np.array([len(x) // 4 for x in own], dtype="<u4")
+                rows.append((home[at[0]], code[at].astype("<u4").tobytes(), lengths.tobytes(), b"".join(own)))
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["home", "codes", "lengths", "ids"])
+
+    return run
 
 
 def piece_table(path: str) -> pa.Array:
@@ -104,24 +124,15 @@ def piece_table(path: str) -> pa.Array:
     return pa.array(by_id, pa.string())
 
 
-def word_table(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids): each distinct word encoded once, ids as little-endian 32-bit integers. ``words`` is dealt by word; the
-    condition reads all its columns, so that Spark reuses that exchange here instead of dealing the words a second time."""
-    whole = (F.count("code") > 0) & (F.max("home") >= 0)
-    return words.groupBy("word").agg(whole.alias("whole")).where("whole").select("word", _encoder(path)("word").alias("ids"))
-
-
 def texts_of(block: dict, facts: pa.Table, path: str):
     """(doc_id, ids, decoded text) of each document of a block: the ids of the block's words are joined to their pieces,
     and both come back to the words' positions."""
     codes = unpack_codes(block["codes"])
-    known = facts.column("code").to_numpy()
-    raw = facts.column("ids").to_pylist()
+    packed = lambda name: np.frombuffer(b"".join(facts.column(name).to_pylist()), "<u4").astype(np.int64)
+    known, sizes, flat = packed("codes"), packed("lengths"), packed("ids")
     n = int(max(codes.max(initial=-1), known.max(initial=-1))) + 1
     count, begin = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    sizes = np.array([len(r) // 4 for r in raw], dtype=np.int64)
     count[known], begin[known] = sizes, np.cumsum(sizes) - sizes
-    flat = np.frombuffer(b"".join(raw), "<u4")
     pieces = piece_table(path).take(pa.array(flat)).to_pylist()
     decoded: list = [None] * n
     for code, low, k in zip(known.tolist(), begin[known].tolist(), sizes.tolist()):
@@ -139,7 +150,8 @@ def texts_of(block: dict, facts: pa.Table, path: str):
 def _blocks_and_facts(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     blocks = blocks_of(docs, Splitter(path), block_bytes=BLOCK_BYTES)
     words = word_rows(blocks).select("home", "code", "word").repartition(shuffle_partitions(docs.sparkSession), "word")
-    return blocks, words.join(word_table(words, path).hint("merge"), "word").select("home", "code", "ids")
+    packed = words.sortWithinPartitions("word").mapInArrow(_encode_runs(path), "home long, codes binary, lengths binary, ids binary")
+    return blocks, packed
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:

@@ -232,7 +232,7 @@ def scored(corpus: Corpus, model: Model) -> DataFrame:
     base_total = np.log10(tokens + distinct + 1)
 
     def run(block: dict, facts: pa.Table) -> pa.Table:
-        codes = unpack_codes(block["codes"])
+        codes, facts = unpack_codes(block["codes"]), facts.sort_by("code")
         words = facts.column("word").to_pylist()
         c = facts.column("c").to_numpy().astype(np.float64)
         unit = units.of(words)
