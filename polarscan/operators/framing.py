@@ -22,9 +22,7 @@ from ..sources.containers import HEADER_BYTES, MAGICS, unpack_volume
 # Fixed values of the message framing.
 HEADER = struct.Struct(">HBBHHIHH")
 RESYNC_BYTES = 4096
-MESSAGE_CAP = 200000
 SLOT_BYTES, SLOT_PREFIX, SLOT_MAX_MESSAGE = 2432, 12, 2420
-SEGMENT_CAP = 2000
 UNSLOTTED_TYPES = (29, 31)
 START_OF_VOLUME = 3
 
@@ -92,7 +90,7 @@ class _Segments:
     def add(self, seq: int, kind: int, count: int, number: int, piece: bytes) -> tuple[int, bytes] | None:
         if count <= 1:
             return kind, piece
-        if count > SEGMENT_CAP or not 1 <= number <= count:
+        if not 1 <= number <= count:
             return None
         first_kind, first_count, pieces = self.pending.setdefault(seq, (kind, count, {}))
         if count != first_count:
@@ -118,9 +116,7 @@ def messages_of(data: bytes) -> Iterator[tuple]:
     if len(data) < HEADER_BYTES:
         return
     segments = _Segments()
-    for count, (at, (size, _, kind, seq, julian, ms, n, number)) in enumerate(_headers(data)):
-        if count >= MESSAGE_CAP:
-            return
+    for at, (size, _, kind, seq, julian, ms, n, number) in _headers(data):
         done = segments.add(seq, kind, n, number, data[at + HEADER.size : at + size * 2])
         if done and done[0] == 31 and starts_volume(done[1]):
             segments.pending.clear()

@@ -180,5 +180,5 @@ def frame_index(spark: SparkSession, base: str) -> CommitLog:
 
 
 def file_table(spark: SparkSession, base: str) -> CommitLog:
-    keys = ["station", "product", "timestamp", "filename"]
+    keys = ["station", "product", "timestamp", "filename", "tilt"]
     return CommitLog(spark, f"{base.rstrip('/')}/frame_files", schemas.FRAME_FILES, keys)

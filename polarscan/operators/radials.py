@@ -16,7 +16,6 @@ BLOCK_HEADER_BYTES, VOLUME_BLOCK_BYTES, RADIAL_BLOCK_BYTES, MOMENT_BLOCK_BYTES =
 LEGACY_MIN_BYTES, LEGACY_DATA_AT = 32, 46
 LEGACY_ELEV_NUM = 255
 NEW_SWEEP_STATUSES = (0, 3, 5)
-MAX_GATES = 8000
 ANGLE_STEP = 360.0 / 65536.0
 
 
@@ -203,8 +202,7 @@ def moment_blocks(rows: DataFrame, low_byte_word_size: bool = False) -> DataFram
     word = F.col("word") % 256 if low_byte_word_size else F.col("word")
     sized = rows.where(F.col("num_gates") > 0).withColumn("word_size", F.when(word == 0, F.lit(8)).otherwise(word))
     usable = (
-        (F.col("num_gates") <= MAX_GATES)
-        & (F.col("gate_spacing") != 0)
+        (F.col("gate_spacing") != 0)
         & F.col("word_size").isin(8, 16)
         & (F.col("scale") != 0)
         & ~F.isnan("scale")

@@ -25,7 +25,6 @@ from .moments import decode_gates, gate_ranges, value_table
 
 FULL_RAYS, HALF_RAYS = 720, 360
 FINE_RAY_COUNT = 400
-CELL_LIMIT = 200_000_000
 
 
 @dataclass(frozen=True)
@@ -74,8 +73,7 @@ def rays_for(tilt_rays: Column, always_full: bool = False) -> Column:
 
 def tilt_table(frames: DataFrame, tilt_rays: DataFrame, profile: RasterProfile = INGEST) -> DataFrame:
     """Tilts of each frame that can be gridded, with index, ray count and gate geometry."""
-    cells = F.size("available_tilts").cast("bigint") * FULL_RAYS * F.col("ngates")
-    usable = frames.where((F.col("ngates") > 0) & (F.col("gate_spacing") > 0) & (cells <= CELL_LIMIT))
+    usable = frames.where((F.col("ngates") > 0) & (F.col("gate_spacing") > 0))
     listed = usable.select(
         "volume_id", "product", "ngates", "first_gate", "gate_spacing", F.posexplode("available_tilts").alias("tilt_idx", "tilt")
     ).withColumn("tilt_key", q.tilt_key(F.col("tilt")))

@@ -248,14 +248,12 @@ def radial_angle_filter(spark, sf):
 
 
 @query(
-    f"""WITH {m.RADIALS}, t AS (SELECT volume_id, list_sort(list(DISTINCT CAST(msg_seq % 40 AS FLOAT) / {m.sql_f(4)})) AS tilts, max(k) AS gates FROM rad GROUP BY 1)
+    f"""WITH {m.RADIALS}, t AS (SELECT volume_id, list_sort(list(DISTINCT CAST(msg_seq % 40 AS FLOAT) / {m.sql_f(4)})) AS tilts FROM rad GROUP BY 1)
       SELECT volume_id, i - 1 AS tilt_idx, CAST(tilts[i] * 100 AS INTEGER) AS tilt_key
-      FROM (SELECT volume_id, tilts, unnest(range(1, len(tilts) + 1)) AS i FROM t WHERE len(tilts) * 720 * CAST(gates AS BIGINT) <= 2000000)"""
+      FROM (SELECT volume_id, tilts, unnest(range(1, len(tilts) + 1)) AS i FROM t)"""
 )
 def tilt_index(spark, sf):
-    """Position of each tilt among a volume's sorted tilts, for volumes within the cell limit."""
+    """Position of each tilt among a volume's sorted tilts."""
     rads = m.radials(spark, sf).withColumn("elevation_deg", (F.col("msg_seq") % 40 / F.lit(4.0)).cast("float"))
-    tilts = metadata.tilts(rads).join(rads.groupBy("volume_id").agg(F.max("k").alias("gates")), "volume_id")
-    kept = tilts.where(F.size("available_tilts").cast("bigint") * 720 * F.col("gates") <= 2000000)
-    listed = kept.select("volume_id", F.posexplode("available_tilts").alias("tilt_idx", "tilt"))
+    listed = metadata.tilts(rads).select("volume_id", F.posexplode("available_tilts").alias("tilt_idx", "tilt"))
     return listed.select("volume_id", F.col("tilt_idx").cast("bigint").alias("tilt_idx"), q.tilt_key(F.col("tilt")).alias("tilt_key"))

@@ -15,7 +15,7 @@ TILT_PACKS = (
 )
 
 FRAME_FILES = (
-    "station string, product string, timestamp string, filename string, metadata string, bitmask binary, values binary"
+    "station string, product string, timestamp string, filename string, tilt float, metadata string, bitmask binary, values binary"
 )
 
 FRAME_INDEX = "station string, product_code int, product_name string, timestamp string, filename string"

@@ -53,10 +53,15 @@ def ship_package(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``, or a local one when a test leaves it unset."""
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or where that is unset one below the warehouse.
+
+    Only a local master, whose executors share its disk, falls back to a temporary folder.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="polarscan-")
+        master = spark.sparkContext.master
+        local = master == "local" or master.startswith("local[")
+        path = tempfile.mkdtemp(prefix="polarscan-") if local else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/polarscan-scratch"
         spark.conf.set("spark.checkpoint.dir", path)
     return path
 
