@@ -18,6 +18,7 @@ from . import synth
 from .registry import query
 
 _PRODUCTS = ["reflectivity", "velocity"]
+PROBE_STEP = 977  # prime, so that probes meet all rays and gates in turn
 
 EVENTS = f"""ev AS (SELECT *, {synth.VOLUME_KEY_SQL} AS volume_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
     CAST((event_id // {synth.CUT_IDS}) % {len(synth.CUT_64THS)} AS INTEGER) AS cut,
@@ -221,9 +222,16 @@ def tilt_file_metadata(spark, sf):
     return files.select("station", "product", "filename", *cols).groupBy("station", "product", "filename", "r", "g", "e64").agg(F.count("*").alias("n"))
 
 
-@query()
+# A station and timestamp belong to one user; volumes without a header share the hint. Files of one path are one file.
+@query(
+    f"""{_FILES}, owner AS (SELECT DISTINCT volume_id, CASE WHEN user_id % 3 = 1 THEN 'HINT' ELSE CAST(user_id AS VARCHAR) END AS site FROM seg),
+  path AS (SELECT site, product, printf('%.1f.RDA', tilt) AS filename FROM pt JOIN tl USING (volume_id) JOIN owner USING (volume_id)
+    UNION SELECT site, product, 'volumetric.RDA' FROM val JOIN owner USING (volume_id)
+    WHERE CASE product WHEN 'velocity' THEN {m.sql_quantize('value', -100, 100)} ELSE {m.sql_quantize('value', -32, 94.5)} END > 0)
+  SELECT product, count(*) AS files, CAST(0 AS BIGINT) AS different FROM path GROUP BY product"""
+)
 def rda_round_trip(spark, sf):
-    """Files written in the packed format, read back, and compared with what was written; rows are those that differ plus a count."""
+    """Files written in the packed format, read back, and compared with what was written: files and differing ones."""
     base = scratch_path(spark, "rda")
     dec = _decoded(spark, sf)
     files = rda.one_per_path(d.frame_files(dec))
@@ -304,11 +312,11 @@ def _unpacked(data: pd.Series) -> pd.Series:
 @query(
     """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN lower(hex(encode(text))) WHEN 2 THEN lower(hex(encode(text)))
       WHEN 3 THEN head || substr(lower(hex(encode(text))), 1, (octet_length(encode(text)) // 2) * 2) ELSE head || lower(hex(encode(text))) END AS plain
-      FROM (SELECT *, lower(hex(encode('AR2V0006.001'))) || repeat('01', 12) AS head FROM documents) WHERE octet_length(encode(text)) > 40"""
+      FROM (SELECT *, lower(hex(encode('AR2V0006.001'))) || repeat('01', 12) AS head FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))"""
 )
 def container_round_trip(spark, sf):
     """Documents packed into each container form, one of them with a cut record, then unpacked."""
-    docs = m.table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("data")).where(F.octet_length("data") > 40)
+    docs = m.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("data"))
     plain = _unpacked(_containers(F.col("doc_id"), F.col("data")))
     return docs.select("doc_id", F.lower(F.hex(plain)).alias("plain"))
 
@@ -358,14 +366,16 @@ def segment_assembly(spark, sf):
 @query(
     f"""WITH {RAW}, {_TILTS}, cell AS (SELECT volume_id, tilt_idx, CASE WHEN num_rays = 720 THEN CAST(floor(az * 2 + 0.01) AS INTEGER) % 720 ELSE CAST(floor(az + 0.01) AS INTEGER) % 360 END AS ray,
         gate, max({m.sql_quantize('value', -32, 94.5)}) AS q FROM val JOIN tl USING (volume_id, cut) WHERE product = 'reflectivity' AND {m.sql_quantize('value', -32, 94.5)} > 0 GROUP BY ALL),
-      probe AS (SELECT volume_id, tilt_idx, i AS bit_idx FROM tl, (SELECT CAST(range * 977 AS BIGINT) AS i FROM range(0, 140)))
+      probe AS (SELECT volume_id, tilt_idx, unnest(range(0, CAST(num_rays AS BIGINT) * {synth.GATES}, {PROBE_STEP})) AS bit_idx FROM tl)
       SELECT volume_id, tilt_idx, bit_idx, q FROM probe JOIN cell USING (volume_id, tilt_idx)
       WHERE bit_idx = CAST(cell.ray AS BIGINT) * {synth.GATES} + cell.gate"""
 )
 def packed_lookup(spark, sf):
-    """Values of single cells read straight from the packed form, by bit position; cells without data left out."""
+    """Values of single cells read straight from the packed form, by bit positions spread over each whole grid; cells without
+    data left out."""
     packs = _decoded(spark, sf).tilt_packs().where(F.col("product") == "reflectivity")
-    bit = F.explode(F.transform(F.sequence(F.lit(0), F.lit(139)), lambda i: (i * 977).cast("bigint")))
-    probes = packs.select("volume_id", "tilt_idx", "bitmask", "values", bit.alias("bit_idx"))
-    found = probes.select("volume_id", "tilt_idx", "bit_idx", pack.value_at("bitmask", "values", "bit_idx").alias("q"))
-    return found.where(F.col("q") > 0)
+    last = F.greatest(F.octet_length("bitmask").cast("bigint") * 8 - 1, F.lit(0).cast("bigint"))
+    bits = F.sequence(F.lit(0).cast("bigint"), last, F.lit(PROBE_STEP).cast("bigint"))
+    codes = packs.select("volume_id", "tilt_idx", bits.alias("bit_idx"), pack.values_at("bitmask", "values", bits).alias("q"))
+    found = codes.select("volume_id", "tilt_idx", F.explode(F.arrays_zip("bit_idx", "q")).alias("cell"))
+    return found.select("volume_id", "tilt_idx", "cell.bit_idx", "cell.q").where(F.col("q") > 0)
