@@ -8,7 +8,7 @@ are found by brute force, and while too few of them are in the graph, new orders
 
 A list whose last entry still is a link is saturated: it may hide further links. The lists of all nodes that threshold edges
 connect are therefore enlarged to their whole component: the component's members are compared in tiles of ``TILE`` x ``TILE``
-in double precision, and a tile gives counts and one partner per node, not pairs. So links inside a component are exact, and
+in double precision, and a tile gives counts and one reached node per node, not pairs. So links inside a component are exact, and
 what a search can miss is only a component's part to which no edge was found.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows without a label, link with
@@ -200,21 +200,36 @@ def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS, orders: int = ORDERS,
     return graph
 
 
+def _least_reachable(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per left node the least node that it reaches over the links of this pair of tiles."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    ia, ib = at[: len(a)], at[len(a) :]
+    least = np.arange(len(ids))
+    while True:
+        before = least.copy()
+        np.minimum.at(least, ia, np.where(near, before[ib][None, :], len(ids)).min(axis=1))
+        np.minimum.at(least, ib, np.where(near, before[ia][:, None], len(ids)).min(axis=0))
+        least = least[least]  # what a node's least one has reached, the node reaches too
+        if (least == before).all():
+            return ids[least[ia]]
+
+
 def _compare(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Counts of links of the left tile's nodes in the right tile (weighted by class size), and the least partner."""
+    """Counts of links of the left tile's nodes in the right tile (weighted by class size), and one node of their component
+    within the two tiles: the same one for all of it, so that these partners connect what the links connect."""
     matrix = lambda t, unit: np.frombuffer(b"".join(t.column(unit).to_pylist()), np.float64).reshape(t.num_rows, -1)
     if not left.num_rows or not right.num_rows:
         return pa.table({"node": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "partner": pa.array([], pa.int64())})
     a, b = left.column("l_node").to_numpy(), right.column("node").to_numpy()
     near = (matrix(left, "l_unit") @ matrix(right, "unit").T >= LEAST) & (a[:, None] != b[None, :])
     n = near @ right.column("size").to_numpy()
-    partner = np.where(near, b[None, :], np.iinfo(np.int64).max).min(axis=1)
+    partner = _least_reachable(near, a, b)
     some = near.any(axis=1)
     return pa.table({"node": a[some], "n": n[some].astype(np.int64), "partner": partner[some]})
 
 
 def exact_links(nodes: DataFrame, graph: DataFrame) -> DataFrame:
-    """(node, n, partner) rows: per node and tile the number of linked rows and one linked node."""
+    """(node, n, partner) rows: per node and tile the number of linked rows and one node reached by links."""
     found = graph.where(F.col("s") >= LEAST - SLACK).select(F.col("u").alias("a"), F.col("v").alias("b"))
     members = staged(nodes.join(components(found).hint("merge"), "node").select("node", "component", "size", "unit", (F.xxhash64("node")).alias("h")), "link-members")
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))

@@ -275,3 +275,16 @@ def test_pipeline_equals_its_stages(spark, sf_dir):
             group = [group[i] if g == group[j] else g for g in group]
     kept = {passed[group.index(g)]["doc_id"] for g in set(group)}
     assert {r["doc_id"] for r in out} == kept and len(kept) > 50
+
+
+@pytest.mark.parametrize("tile", [1024, 2])
+def test_nn_descent_keeps_chains_whole(spark, tile, monkeypatch):
+    """A chain whose inner link is nobody's link to its least partner, in one tile and over several."""
+    monkeypatch.setattr(nndescent, "TILE", tile)
+    degrees = {0: 0, 1: 30, 2: 10, 3: 20, 4: 100, 5: 140, 6: 110, 7: 130, 8: 120}
+    rows = [(i, [math.cos(math.radians(d)), math.sin(math.radians(d))], 1) for i, d in degrees.items()]
+    made = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").coalesce(1)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nndescent.near_duplicates(made).collect()}
+    for i, d in degrees.items():
+        links = sum(abs(d - e) == 10 for e in degrees.values())
+        assert got[i] == (links, 0 if d <= 30 else 4), i
