@@ -1,7 +1,8 @@
 """Volume bytes to message rows.
 
 Framing is sequential inside one object, so it is the one step done by a Python generator: one volume in, its messages
-out, a batch at a time, no shuffle. Every field behind the 16-byte message header is decoded later by Spark expressions.
+out, a batch at a time, no shuffle. The pass also numbers the sweeps, because it holds the radials in order: later steps
+join on that number, without windows or ranges. All other fields of a payload are decoded by Spark expressions.
 """
 
 from __future__ import annotations
@@ -25,6 +26,15 @@ RESYNC_BYTES = 4096
 SLOT_BYTES, SLOT_PREFIX, SLOT_MAX_MESSAGE = 2432, 12, 2420
 UNSLOTTED_TYPES = (29, 31)
 START_OF_VOLUME = 3
+NEW_SWEEP_STATUSES = (0, 3, 5)
+LEGACY_TYPE, GENERIC_TYPE = 1, 31
+GENERIC_HEADER_BYTES, LEGACY_MIN_BYTES, MAX_BLOCKS = 72, 32, 10
+LEGACY_ELEV_NUM = 255
+LEGACY_ELEVATION = struct.Struct(">H")
+LEGACY_STEEPEST = 16384  # 90 degrees, in steps of 360 / 65536; azimuths in such steps never leave the circle
+# Usable angles; azimuths are compared in single precision.
+WEST, EAST = (struct.unpack(">f", struct.pack(">f", x))[0] for x in (-0.1, 360.1))
+LOWEST, STEEPEST = -5.0, 90.0
 
 BATCH_BYTES = 16 << 20
 
@@ -102,13 +112,48 @@ class _Segments:
         return first_kind, b"".join(pieces[i] for i in range(1, count + 1))
 
 
-def starts_volume(payload: bytes) -> bool:
-    """A usable radial whose status announces a new volume; unfinished messages are dropped there."""
-    if len(payload) < 72 or payload[21] != START_OF_VOLUME:
-        return False
+def radial_state(kind: int, payload: bytes) -> tuple[int, int | None] | None:
+    """(status, elevation number) of a usable radial, else null; a legacy radial has no elevation number."""
+    if kind == LEGACY_TYPE:
+        if len(payload) < LEGACY_MIN_BYTES or LEGACY_ELEVATION.unpack_from(payload, 16)[0] > LEGACY_STEEPEST:
+            return None
+        return payload[1], None
+    if kind != GENERIC_TYPE or len(payload) < GENERIC_HEADER_BYTES:
+        return None
     (azimuth,), (elevation,) = struct.unpack_from(">f", payload, 12), struct.unpack_from(">f", payload, 24)
     (blocks,) = struct.unpack_from(">H", payload, 30)
-    return 1 <= blocks <= 10 and -0.1 <= azimuth <= 360.1 and -5 <= elevation <= 90
+    if not (1 <= blocks <= MAX_BLOCKS and WEST <= azimuth <= EAST and LOWEST <= elevation <= STEEPEST):
+        return None
+    return payload[21], payload[22]
+
+
+def starts_volume(kind: int, payload: bytes) -> bool:
+    """A usable generic radial whose status announces a new volume; unfinished messages are dropped there."""
+    return kind == GENERIC_TYPE and (radial_state(kind, payload) or (None,))[0] == START_OF_VOLUME
+
+
+class _Sweeps:
+    """Numbers the sweeps of one volume: one starts at a start status, a changed elevation number, or the first radial.
+
+    A legacy radial that starts a sweep leaves the fixed legacy number for a following generic radial to differ from.
+    """
+
+    def __init__(self) -> None:
+        self.sweep, self.number = -1, None
+
+    def add(self, kind: int, payload: bytes) -> int | None:
+        state = radial_state(kind, payload)
+        if state is None:
+            return None
+        status, number = state
+        started = status in NEW_SWEEP_STATUSES or self.sweep < 0
+        if started or (number is not None and number != self.number):
+            self.sweep += 1
+        if number is not None:
+            self.number = number
+        elif started:
+            self.number = LEGACY_ELEV_NUM
+        return self.sweep
 
 
 def messages_of(data: bytes) -> Iterator[tuple]:
@@ -118,7 +163,7 @@ def messages_of(data: bytes) -> Iterator[tuple]:
     segments = _Segments()
     for at, (size, _, kind, seq, julian, ms, n, number) in _headers(data):
         done = segments.add(seq, kind, n, number, data[at + HEADER.size : at + size * 2])
-        if done and done[0] == 31 and starts_volume(done[1]):
+        if done and starts_volume(*done):
             segments.pending.clear()
         yield (at, kind, seq, julian, ms, n, number) + (done or (None, None))
 
@@ -135,6 +180,7 @@ _ARROW = pa.schema(
         ("num_segments", pa.int32()),
         ("segment_num", pa.int32()),
         ("complete_type", pa.int32()),
+        ("sweep_id", pa.int32()),
         ("payload", pa.binary()),
     ]
 )
@@ -150,7 +196,8 @@ HEADER_TYPE = 0
 def frame_messages(
     volumes: DataFrame, keep_types: tuple[int, ...] = (1, 31), strict: bool = False, with_header: bool = False
 ) -> DataFrame:
-    """Message rows of each volume. Payloads of other complete types than ``keep_types`` are left out.
+    """Message rows of each volume, usable radials with their sweep's number. Payloads of other complete types than
+    ``keep_types`` are left out.
 
     ``with_header`` adds one row of type 0 in front, with the raw volume header, so that one pass over the content is
     enough; it comes even when nothing can be unpacked.
@@ -162,13 +209,14 @@ def frame_messages(
                 blob = blob.as_py()
                 if blob is None or len(blob) < HEADER_BYTES:
                     continue
-                rows, size = [], 0
+                rows, size, sweeps = [], 0, _Sweeps()
                 if with_header:
-                    rows.append((volume_id.as_py(), -1, 0, 0, 0, 0, 0, 0, 0, HEADER_TYPE, blob[:HEADER_BYTES]))
+                    rows.append((volume_id.as_py(), -1, 0, 0, 0, 0, 0, 0, 0, HEADER_TYPE, None, blob[:HEADER_BYTES]))
                 data = unpack_volume(blob, strict) or b""
                 for seq, row in enumerate(messages_of(data)):
                     payload = row[-1] if row[-2] in keep_types else None
-                    rows.append((volume_id.as_py(), seq, *row[:-1], payload))
+                    sweep = None if row[-1] is None else sweeps.add(row[-2], row[-1])
+                    rows.append((volume_id.as_py(), seq, *row[:-1], sweep, payload))
                     size += len(payload or b"") + 64
                     if size >= BATCH_BYTES:
                         yield _batch(rows)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import products as pr
@@ -44,7 +43,6 @@ def first_geometry(moments: DataFrame, keys: list[str]) -> DataFrame:
 
 def sweeps(segmented: DataFrame) -> DataFrame:
     """One row per sweep; its elevation is that of its first radial."""
-    order = W.partitionBy("volume_id").orderBy("start_seq")
     return (
         segmented.groupBy("volume_id", "sweep_id")
         .agg(
@@ -54,7 +52,6 @@ def sweeps(segmented: DataFrame) -> DataFrame:
             F.min_by("elev_num", "msg_seq").alias("elev_num"),
             F.count("*").cast("int").alias("ray_count"),
         )
-        .withColumn("next_seq", F.lead("start_seq").over(order))
         .withColumn("tilt_key", q.tilt_key(F.col("elevation_deg")))
     )
 
@@ -71,20 +68,18 @@ def tilts(sweep_rows: DataFrame) -> DataFrame:
 
 def sweep_nyquist(ranges: DataFrame, sweep_rows: DataFrame) -> DataFrame:
     """Last non-zero Nyquist velocity per sweep, for generic radials and for legacy ones."""
-    at = ranges.join(sweep_rows.select("volume_id", "sweep_id", "tilt_key", "start_seq", "next_seq"), "volume_id").where(
-        (F.col("msg_seq") >= F.col("start_seq")) & (F.col("next_seq").isNull() | (F.col("msg_seq") < F.col("next_seq")))
-    )
     order = stream_order()
     generic = F.col("msg_type") == 31
-    return (
-        at.where(F.col("nyquist") > 0)
-        .groupBy("volume_id", "sweep_id", "tilt_key")
+    last = (
+        ranges.where(F.col("nyquist") > 0)
+        .groupBy("volume_id", "sweep_id")
         .agg(
             last_by(F.col("nyquist"), order, generic).alias("nyquist_all"),
             F.max_by("nyquist", order).alias("nyquist_reflectivity"),
             F.max("msg_seq").alias("nyquist_seq"),
         )
     )
+    return last.join(sweep_rows.select("volume_id", "sweep_id", "tilt_key"), ["volume_id", "sweep_id"])
 
 
 def frames(

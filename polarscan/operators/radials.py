@@ -8,20 +8,18 @@ from pyspark.sql import functions as F
 
 from ..functions import bytes_be as b
 from ..functions import f32 as f
+from .framing import EAST, GENERIC_HEADER_BYTES, LEGACY_ELEV_NUM, LEGACY_MIN_BYTES, LOWEST, MAX_BLOCKS, NEW_SWEEP_STATUSES, STEEPEST, WEST
+from .moments import block_code
 
 # Fixed values of the record layouts.
-GENERIC_HEADER_BYTES = 72
-MAX_BLOCKS = 10
 BLOCK_HEADER_BYTES, VOLUME_BLOCK_BYTES, RADIAL_BLOCK_BYTES, MOMENT_BLOCK_BYTES = 4, 44, 20, 28
-LEGACY_MIN_BYTES, LEGACY_DATA_AT = 32, 46
-LEGACY_ELEV_NUM = 255
-NEW_SWEEP_STATUSES = (0, 3, 5)
+LEGACY_DATA_AT = 46
 ANGLE_STEP = 360.0 / 65536.0
 
 
 def angles_in_range(azimuth: Column, elevation: Column) -> Column:
     return (
-        (azimuth >= f.f32(-0.1)) & (azimuth <= f.f32(360.1)) & (elevation >= f.f32(-5.0)) & (elevation <= f.f32(90.0))
+        (azimuth >= f.f32(WEST)) & (azimuth <= f.f32(EAST)) & (elevation >= f.f32(LOWEST)) & (elevation <= f.f32(STEEPEST))
     )
 
 
@@ -42,6 +40,7 @@ def radials(messages: DataFrame) -> DataFrame:
         .select(
             "volume_id",
             "msg_seq",
+            "sweep_id",
             F.col("complete_type").alias("msg_type"),
             either(f.mul(b.be_u16(p, 8), ANGLE_STEP), b.be_f32(p, 12)).alias("azimuth"),
             either(f.mul(b.be_u16(p, 16), ANGLE_STEP), b.be_f32(p, 24)).alias("elevation"),
@@ -81,8 +80,9 @@ def sweep_segments(rads: DataFrame) -> DataFrame:
     )
 
 
-def attach_blocks(rads: DataFrame) -> DataFrame:
-    """Replaces the payload by ``blocks``: number, fixed part and gate bytes per usable pointer.
+def attach_blocks(rads: DataFrame, codes: list[int]) -> DataFrame:
+    """Replaces the payload by ``blocks``: number, fixed part and gate bytes per usable pointer. Gates are cut out for
+    moments of the requested ``codes`` only.
 
     A legacy payload becomes one block; a volume header becomes ``head``. Pointers and fixed parts are taken in steps,
     because a lambda evaluates an expression anew wherever it is used.
@@ -103,7 +103,8 @@ def attach_blocks(rads: DataFrame) -> DataFrame:
         fixed = x["fixed"]
         word = F.when(b.take(fixed, 19, 1) == F.lit(b"\x10"), F.lit(2)).otherwise(F.lit(1))
         gates = b.take(p, x["at"] + MOMENT_BLOCK_BYTES, b.be_u16(fixed, 8) * word)
-        moment = (b.take(fixed, 0, 1) == F.lit(b"D")) & b.has_bytes(fixed, 0, MOMENT_BLOCK_BYTES)
+        wanted = block_code(F.decode(b.take(fixed, 1, 3), "ISO-8859-1")).isin(codes)
+        moment = (b.take(fixed, 0, 1) == F.lit(b"D")) & wanted & b.has_bytes(fixed, 0, MOMENT_BLOCK_BYTES)
         return F.struct(x["block_no"].alias("block_no"), fixed.alias("fixed"), F.when(moment, gates).alias("gates"))
 
     legacy = F.array(
@@ -124,7 +125,7 @@ def attach_blocks(rads: DataFrame) -> DataFrame:
     )
 
 
-RADIAL_COLUMNS = ["volume_id", "msg_seq", "msg_type", "azimuth", "elevation", "radial_status", "elev_num"]
+RADIAL_COLUMNS = ["volume_id", "msg_seq", "sweep_id", "msg_type", "azimuth", "elevation", "radial_status", "elev_num"]
 
 
 def block_rows(rads: DataFrame) -> DataFrame:
@@ -178,6 +179,13 @@ def block_rows(rads: DataFrame) -> DataFrame:
     )
 
 
+def prune_blocks(rows: DataFrame, codes: list[int], gates: bool = True) -> DataFrame:
+    """Leaves out moments of codes that nobody asked for, but for the row that leads a radial, and on request all gates."""
+    other = F.col("num_gates").isNotNull() & ~F.coalesce(block_code(F.col("name")).isin(codes), F.lit(False)) & (F.col("kind") != "L")
+    kept = rows.where(F.col("leads") | ~other)
+    return kept if gates else kept.drop("gates")
+
+
 def radials_of(rows: DataFrame) -> DataFrame:
     return rows.where((F.col("msg_type") != 0) & F.col("leads")).select(*RADIAL_COLUMNS)
 
@@ -191,7 +199,7 @@ def site_blocks(rows: DataFrame) -> DataFrame:
 def range_blocks(rows: DataFrame) -> DataFrame:
     """Nyquist velocity (m/s) and unambiguous range (m) of radial blocks and legacy radials; zero means "not given"."""
     given = rows.where(F.col("nyquist").isNotNull())
-    return given.select("volume_id", "msg_seq", "block_no", "msg_type", "nyquist", "unambiguous_range")
+    return given.select("volume_id", "sweep_id", "msg_seq", "block_no", "msg_type", "nyquist", "unambiguous_range")
 
 
 def moment_blocks(rows: DataFrame, low_byte_word_size: bool = False) -> DataFrame:
@@ -209,5 +217,5 @@ def moment_blocks(rows: DataFrame, low_byte_word_size: bool = False) -> DataFram
     )
     complete = F.col("gate_bytes") >= F.col("num_gates") * F.col("word_size") / 8
     kept = sized.where(((F.col("msg_type") == 1) | usable) & complete)
-    fields = ["num_gates", "first_gate", "gate_spacing", "word_size", "scale", "offset", "gates"]
-    return kept.select("volume_id", "msg_seq", "msg_type", "block_no", "azimuth", "name", *fields)
+    fields = ["num_gates", "first_gate", "gate_spacing", "word_size", "scale", "offset", *(c for c in ("gates",) if c in rows.columns)]
+    return kept.select("volume_id", "sweep_id", "msg_seq", "msg_type", "block_no", "azimuth", "name", *fields)

@@ -86,8 +86,7 @@ def tilt_table(frames: DataFrame, tilt_rays: DataFrame, profile: RasterProfile =
 
 def cuts(sweeps: DataFrame, tilts: DataFrame, profile: RasterProfile = INGEST) -> DataFrame:
     """(sweep, tilt, product) triples to rasterize: a few dozen narrow rows per volume."""
-    cols = ["volume_id", "sweep_id", "elevation_deg", "start_seq", "next_seq"]
-    return tilt_band_join(sweeps.select(*cols), tilts, ["volume_id"], profile.tolerance)
+    return tilt_band_join(sweeps.select("volume_id", "sweep_id", "elevation_deg"), tilts, ["volume_id"], profile.tolerance)
 
 
 def _codes(bins: DataFrame, profile: RasterProfile) -> Column:
@@ -216,13 +215,13 @@ def pack_tilts(
 ) -> DataFrame:
     """Packed 2-D grid of every tilt, and its slab of the 720-ray volume, straight from packed gates.
 
-    ``moments`` is (volume, product, msg_seq, azimuth, gates ...). Join and grouping share one exchange on (volume,
+    ``moments`` is (volume, product, sweep, azimuth, gates ...). Join and grouping share one exchange on (volume,
     product), a tilt without data still yields its empty grid, and grids never leave the group as rows.
     """
     m = moments.select(
         "volume_id",
         "product",
-        "msg_seq",
+        "sweep_id",
         "azimuth",
         "num_gates",
         "word_size",
@@ -232,16 +231,14 @@ def pack_tilts(
         F.col("gate_spacing").alias("m_spacing"),
         "gates",
     )
-    at = F.col("msg_seq")
-    within = (at >= F.col("start_seq")) & (F.col("next_seq").isNull() | (at < F.col("next_seq")))
     # The packing below is work per row, not per byte, so its parallelism is fixed here and not left to size-based
     # coalescing. Cuts are the kept side: a tilt without data stays. The merge join keeps the exchange's partitioning,
     # so it also serves the grouping, and gates are never broadcast.
     parts = partitions or int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     m = m.repartition(parts, "volume_id", "product").hint("merge")
-    cut = cut_rows.withColumnsRenamed({"volume_id": "cut_volume", "product": "cut_product"})
-    same = (F.col("volume_id") == F.col("cut_volume")) & (F.col("product") == F.col("cut_product"))
-    rays = m.join(cut, same & within, "right").select(
+    cut = cut_rows.withColumnsRenamed({"volume_id": "cut_volume", "product": "cut_product", "sweep_id": "cut_sweep"})
+    same = (F.col("volume_id") == F.col("cut_volume")) & (F.col("product") == F.col("cut_product")) & (F.col("sweep_id") == F.col("cut_sweep"))
+    rays = m.join(cut, same, "right").select(
         F.col("cut_volume").alias("volume_id"),
         F.col("cut_product").alias("product"),
         "tilt_idx",

@@ -25,10 +25,7 @@ class Decoded:
 
     def bins(self) -> DataFrame:
         """One row per gate with data."""
-        at = F.col("msg_seq")
-        within = (at >= F.col("start_seq")) & (F.col("next_seq").isNull() | (at < F.col("next_seq")))
-        cut = self.sweeps.select("volume_id", "sweep_id", "start_seq", "next_seq")
-        return moments.explode_bins(self.moments.join(cut, "volume_id").where(within))
+        return moments.explode_bins(self.moments)
 
     def tilt_rays(self) -> DataFrame:
         return metadata.tilt_ray_counts(self.sweeps)
@@ -49,19 +46,23 @@ def decode(
     strict: bool = False,
     low_byte_word_size: bool = False,
     write_radials: bool = True,
+    gates: bool = True,
 ) -> Decoded:
     """Decodes all requested products in one pass over the volumes.
 
     The Python generator runs once: its blocks are written to a table in the shared folder, and sweeps, metadata and
-    moments read the columns they need from there. ``write_radials=False`` keeps everything lazy, for one-branch reads.
+    moments read the columns they need from there. Moments of other products are never written, and ``gates=False`` writes
+    no gates at all, for callers that want sweeps and metadata. ``write_radials=False`` keeps everything lazy.
     """
     products = list(dict.fromkeys(products or pr.ALL_PRODUCTS))
     messages = framing.frame_messages(volumes, strict=strict, with_header=True)
-    rows = radials.block_rows(radials.attach_blocks(radials.radials(messages)))
+    codes = sorted({pr.moment_code(p) for p in products})
+    rows = radials.block_rows(radials.attach_blocks(radials.radials(messages), codes))
+    rows = radials.prune_blocks(rows, codes, gates)
     if write_radials:
         rows = materialize(rows, "blocks")
     heads = rows.where(F.col("msg_type") == 0).select("volume_id", "head").join(framing.hints(volumes), "volume_id")
-    segmented = radials.sweep_segments(radials.radials_of(rows))
+    segmented = radials.radials_of(rows)
     sweep_rows = metadata.sweeps(segmented)
     if write_radials:
         # A few dozen rows per volume that nearly every later step joins with.

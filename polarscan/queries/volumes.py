@@ -37,8 +37,8 @@ RAW = f"""{EVENTS},
     WHERE raw > 1 AND (product = 'velocity' OR (raw - off) / 2.0::DOUBLE >= -32))"""
 
 
-def _decoded(spark, sf):
-    return d.decode(synth.volumes(spark, sf), _PRODUCTS)
+def _decoded(spark, sf, gates=True):
+    return d.decode(synth.volumes(spark, sf), _PRODUCTS, gates=gates)
 
 
 @query(
@@ -78,7 +78,7 @@ def volume_sequence_gaps(spark, sf):
 )
 def decode_sweeps(spark, sf):
     """Sweeps of the decoded volumes."""
-    rows = _decoded(spark, sf).sweeps
+    rows = _decoded(spark, sf, gates=False).sweeps
     return rows.select("volume_id", "sweep_id", "start_seq", "end_seq", (F.col("elevation_deg") * 64).cast("int").alias("elev64"), "elev_num", "ray_count")
 
 
@@ -96,7 +96,7 @@ def decode_sweeps(spark, sf):
 )
 def decode_frames(spark, sf):
     """Frame metadata per volume and product: last site values, first geometry, ranges, counts."""
-    f = _decoded(spark, sf).frames
+    f = _decoded(spark, sf, gates=False).frames
 
     def whole(x):
         return F.round(x, 0).cast("int")
@@ -145,7 +145,7 @@ _SEG_NYQ = "CAST(max_by((k % 4) * 100, msg_seq) FILTER ((k % 4) > 0) AS INTEGER)
 @query(f"WITH {EVENTS} SELECT volume_id, sweep_id, {_SEG_NYQ} AS nyquist_cm FROM seg GROUP BY ALL HAVING count(*) FILTER (k % 4 > 0) > 0")
 def decode_nyquist(spark, sf):
     """Last Nyquist velocity given in each sweep."""
-    dec = _decoded(spark, sf)
+    dec = _decoded(spark, sf, gates=False)
     rows = metadata.sweep_nyquist(dec.ranges, dec.sweeps)
     return rows.select("volume_id", "sweep_id", F.round(F.col("nyquist_all") * 100, 0).cast("int").alias("nyquist_cm"))
 

@@ -4,7 +4,7 @@ VOLUMES = "volume_id string, path string, station string, ts_key string, content
 
 MESSAGES = (
     "volume_id string, msg_seq int, offset bigint, type int, sequence_num int, julian int, ms bigint, "
-    "num_segments int, segment_num int, complete_type int, payload binary"
+    "num_segments int, segment_num int, complete_type int, sweep_id int, payload binary"
 )
 
 BINS = "volume_id string, product string, sweep_id int, msg_seq int, gate int, azimuth float, range_m float, value float"
