@@ -14,13 +14,21 @@ KEYS = ["station", "product_name", "timestamp", "filename"]
 COLUMNS = ["station", "product_code", "product_name", "timestamp", "filename"]
 
 
-def upsert(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of both, one per key; incoming wins over current. A key present once is not sorted, only hashed."""
-    rest = [c for c in current.columns if c not in keys]
-    both = current.withColumn("_v", F.lit(0)).unionByName(incoming.select(*current.columns).withColumn("_v", F.lit(1)))
+def _one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows with equal keys the greatest one. A single further column is kept by a plain maximum, which hashes."""
+    rest = [c for c in rows.columns if c not in keys]
     if not rest:
-        return both.select(*keys).distinct()
-    return both.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("_v", *rest)).alias("x")).select(*keys, "x.*")
+        return rows.distinct()
+    if len(rest) == 1:
+        return rows.groupBy(*keys).agg(F.max(rest[0]).alias(rest[0]))
+    return rows.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("x")).select(*keys, "x.*")
+
+
+def upsert(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of both, one per key; incoming wins over current. The aggregates leave rows hashed by key, as the join wants."""
+    columns = current.columns
+    new, old = (_one_per_key(rows.select(*columns), keys) for rows in (incoming, current))
+    return old.join(new.select(*keys), keys, "left_anti").select(*columns).unionByName(new.select(*columns))
 
 
 def delete_rows(current: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:

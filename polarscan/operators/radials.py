@@ -16,6 +16,8 @@ BLOCK_HEADER_BYTES, VOLUME_BLOCK_BYTES, RADIAL_BLOCK_BYTES, MOMENT_BLOCK_BYTES =
 LEGACY_DATA_AT = 46
 ANGLE_STEP = 360.0 / 65536.0
 
+RANGE = 8192  # sequence numbers of a stream that one task orders
+
 
 def angles_in_range(azimuth: Column, elevation: Column) -> Column:
     return (
@@ -60,24 +62,40 @@ def sweep_segments(rads: DataFrame) -> DataFrame:
     """Adds ``sweep_id``: a sweep starts at a start status, at a change of elevation number, or at the first radial.
 
     A legacy radial has no elevation number, so only status or being first starts a sweep there, and the number
-    a following generic radial is compared with is the fixed legacy one. Feed narrow columns: the window sorts them.
+    a following generic radial is compared with is the fixed legacy one. Feed narrow columns: the windows sort them.
+
+    A volume's stream is cut into ranges of ``RANGE`` sequence numbers, so that an endless one spreads over many tasks. Each
+    range is told the number that holds at its start and how many sweeps start before it; only these totals, one row a range,
+    are ordered over a whole volume.
     """
-    order = W.partitionBy("volume_id").orderBy("msg_seq")
+    keys = ["volume_id", "_range"]
+    stream = W.partitionBy(*keys).orderBy("msg_seq")
+    totals = W.partitionBy("volume_id").orderBy("_range")
+    earlier = totals.rowsBetween(W.unboundedPreceding, -1)
     legacy = F.col("msg_type") == 1 if "msg_type" in rads.columns else F.lit(False)
-    first = F.row_number().over(order) == 1
-    started = F.col("radial_status").isin(*NEW_SWEEP_STATUSES) | F.col("_first")
-    number_after = F.when(~legacy, F.col("elev_num").cast("int")).when(started, F.lit(LEGACY_ELEV_NUM))
-    marked = rads.withColumn("_first", first).withColumn("_after", number_after)
-    current = F.last("_after", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1))
-    changed = ~legacy & (F.col("elev_num") != F.col("_current"))
-    is_new = F.coalesce(started | changed, F.lit(False)).cast("int")
-    running = F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, 0)) - 1
-    return (
-        marked.withColumn("_current", current)
-        .withColumn("_new", is_new)
-        .withColumn("sweep_id", running.cast("int"))
-        .drop("_first", "_after", "_current", "_new")
+    starts = F.col("radial_status").isin(*NEW_SWEEP_STATUSES)
+    number_after = F.when(~legacy, F.col("elev_num").cast("int")).when(starts, F.lit(LEGACY_ELEV_NUM))
+    ranged = rads.withColumn("_range", F.floor(F.col("msg_seq") / RANGE)).withColumn("_after", number_after)
+
+    # The first radial of a volume that opens with legacy ones leaves the legacy number too.
+    left = F.max_by("_after", F.when(F.col("_after").isNotNull(), F.col("msg_seq")))
+    opening = F.row_number().over(totals) == 1
+    passed_on = F.coalesce("_left", F.when(F.col("_opening"), F.lit(LEGACY_ELEV_NUM)))
+    told = (
+        ranged.groupBy(*keys)
+        .agg(left.alias("_left"))
+        .withColumn("_opening", opening)
+        .withColumn("_before", F.coalesce(F.last(passed_on, ignorenulls=True).over(earlier), F.lit(LEGACY_ELEV_NUM)))
+        .select(*keys, "_opening", "_before")
     )
+    current = F.coalesce(F.last("_after", ignorenulls=True).over(stream.rowsBetween(W.unboundedPreceding, -1)), F.col("_before"))
+    started = starts | (F.col("_opening") & (F.row_number().over(stream) == 1))
+    is_new = F.coalesce(started | (~legacy & (F.col("elev_num") != current)), F.lit(False)).cast("int")
+    marked = ranged.join(told, keys).withColumn("_new", is_new)
+    counts = marked.groupBy(*keys).agg(F.sum("_new").alias("_n"))
+    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    running = F.sum("_new").over(stream.rowsBetween(W.unboundedPreceding, 0)) + F.col("_offset") - 1
+    return marked.join(offsets, keys).select(*rads.columns, running.cast("int").alias("sweep_id"))
 
 
 def attach_blocks(rads: DataFrame, codes: list[int]) -> DataFrame:
