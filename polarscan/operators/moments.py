@@ -13,6 +13,7 @@ from .. import products as pr
 from .. import schemas
 
 BELOW_THRESHOLD_OR_FOLDED = 1
+RADIALS_AT_ONCE = 64
 
 
 def block_code(name: Column) -> Column:
@@ -66,10 +67,11 @@ _OUT = ["volume_id", "product", "sweep_id", "msg_seq", "gate", "azimuth", "range
 
 
 def explode_bins(moments: DataFrame) -> DataFrame:
-    """One row per gate with data. One Arrow batch in, one out: gates never pass through Python objects one by one."""
+    """One row per gate with data. Gates never pass through Python objects one by one, and a batch that leaves holds the
+    bins of at most ``RADIALS_AT_ONCE`` radials, whatever the size of those that arrive."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(at, RADIALS_AT_ONCE) for b in batches for at in range(0, b.num_rows, RADIALS_AT_ONCE)):
             cols = batch.to_pydict()
             counts, gate, range_m, value = [], [], [], []
             for i in range(batch.num_rows):
