@@ -32,6 +32,7 @@ HEAD = 512  # words with a unit of their own
 WIDTH = 24  # dimensions of a unit
 ROUNDS = 2
 BATCH = 4096
+CONTEXTS = 256  # contexts normalised by one matrix product; its scores stay in the cache
 NOISE = 64  # noise units per batch, shared by its tokens
 RATE = 0.08
 END = "\n"  # no word holds a line break
@@ -114,15 +115,15 @@ class Model:
         distinct, of = np.unique(pair, return_inverse=True)
         order = np.argsort(of, kind="stable")
         out = np.empty(len(target))
-        edges = np.searchsorted(of[order], np.arange(0, len(distinct) + 2048, 2048))
+        edges = np.searchsorted(of[order], np.arange(0, len(distinct) + CONTEXTS, CONTEXTS))
         for number, (low, high) in enumerate(zip(edges[:-1], edges[1:])):
-            some = distinct[number * 2048 : (number + 1) * 2048]
+            some = distinct[number * CONTEXTS : (number + 1) * CONTEXTS]
             scores = self.predicted(some // (n + 1), some % (n + 1)) @ self.output.T + self.bias
-            top = scores.max(axis=1)
-            norm = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
+            scores -= scores.max(axis=1, keepdims=True)
             at = order[low:high]
-            row = of[at] - number * 2048
-            out[at] = scores[row, target[at]] - norm[row]
+            row = of[at] - number * CONTEXTS
+            own = scores[row, target[at]]
+            out[at] = own - np.log(np.exp(scores, out=scores).sum(axis=1))[row]
         return out
 
     def train(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, counts: np.ndarray, seed: int) -> Model:
