@@ -6,10 +6,11 @@ beside them. Each round then joins neighbours of neighbours: a node gathers its
 them with each other and offers better neighbours. After some rounds recall is audited: the links of a bounded set of nodes
 are found by brute force, and while too few of them are in the graph, new orders and rounds follow.
 
-A list whose last entry still is a link is saturated: it may hide further links. The lists of all nodes that threshold edges
-connect are therefore enlarged to their whole component: the component's members are compared in tiles of ``TILE`` x ``TILE``
-in double precision, and a tile gives counts and one reached node per node, not pairs. So links inside a component are exact, and
-what a search can miss is only a component's part to which no edge was found.
+A list whose last entry still is a link is saturated: it may hide further links, and a link whose two ends are saturated may be
+in no list. The lists of saturated nodes are enlarged in two ways. Outside their component of threshold edges: saturated nodes
+get another list in which only nodes of other components take places, searched in the same way; what it finds unites
+components, and searches follow until none finds a link. Inside: the component's members are compared in tiles of ``TILE`` x
+``TILE`` in double precision, and a tile gives counts and one reached node per node, not pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows without a label, link with
 nothing; vectors of different lengths are never compared; equal rows are linked and stay rows; null ids never name a
@@ -85,25 +86,28 @@ def _orders(nodes: DataFrame, first: int, orders: int) -> DataFrame:
                 for order in range(first, first + orders):
                     planes = np.random.default_rng((order, dim)).normal(size=(dim, BITS)).astype(np.float32)
                     code = ((x @ planes) > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-                    names = ["o", "label", "dim", "code", "node", "unit"]
+                    names = ["o", "label", "dim", "code", "node", "unit", "side"]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), order, np.int32)), some.column(1), some.column(2), pa.array(code), some.column(0), some.column(3)], names=names
+                        [pa.array(np.full(len(x), order, np.int32)), some.column(1), some.column(2), pa.array(code), some.column(0), some.column(3), some.column(4)], names=names
                     )
 
-    coded = nodes.select("node", "label", "dim", "unit").mapInArrow(run, "o int, label long, dim int, code long, node long, unit binary")
+    coded = nodes.select("node", "label", "dim", "unit", "side").mapInArrow(run, "o int, label long, dim int, code long, node long, unit binary, side long")
     keys = ["o", "label", "dim", "code", "node"]
     n = shuffle_partitions(nodes.sparkSession)
     return coded.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
 def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per node the best of the nodes up to ``BESIDE`` places away in its order, label and length."""
+    """Per node the best of the nodes up to ``BESIDE`` places away in its order, label and length. Nodes of one side are not
+    compared, and of each run of them only the two ends keep their places, so that a run hides nothing behind it."""
     kept = None
     for batch in batches:
         whole = pa.Table.from_batches([batch] if kept is None else [kept, batch]).combine_chunks().to_batches()
         if not whole:
             continue
         whole = whole[0]
+        same = np.logical_and.reduce([whole.column(i).to_numpy()[1:] == whole.column(i).to_numpy()[:-1] for i in (0, 1, 2, 6)])
+        whole = whole.filter(pa.array(~(np.r_[False, same] & np.r_[same, False])))
         key = np.stack([whole.column(i).to_numpy() for i in (0, 1, 2)], axis=1)
         cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
         for low, high in zip(cuts[:-1], cuts[1:]):
@@ -111,10 +115,11 @@ def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if n < 2:
                 continue
             node, x = whole.column(4).to_numpy()[low:high], _single(whole.column(5).slice(low, n))
+            side = whole.column(6).to_numpy()[low:high]
             reach = min(BESIDE, n - 1)
             s = np.full((n, 2 * reach), -2, np.float32)
             for k in range(1, reach + 1):
-                near = np.einsum("ij,ij->i", x[:-k], x[k:])
+                near = np.where(side[:-k] != side[k:], np.einsum("ij,ij->i", x[:-k], x[k:]), np.float32(-2))
                 s[:-k, k - 1], s[k:, reach + k - 1] = near, near
             best = np.argsort(-s, axis=1)[:, :OFFERS]
             value = np.take_along_axis(s, best, axis=1)
@@ -130,15 +135,17 @@ def _best(edges: DataFrame, k: int = NEIGHBOURS, by: str = "u", other: str = "v"
 
 
 def _join_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows hold the gathered nodes of one pivot: pairs of them that are better than either one's last neighbour."""
+    """Rows hold the gathered nodes of one pivot: pairs of them, of two sides, that are better than either one's
+    last neighbour."""
     for batch in batches:
         us, vs, ss = [], [], []
         for members in batch.column(0).to_pylist():
             node = np.array([m["node"] for m in members])
             last = np.array([m["last"] for m in members], dtype=np.float32)
+            side = np.array([m["side"] for m in members])
             x = np.frombuffer(b"".join(m["unit"] for m in members), np.float64).reshape(len(node), -1).astype(np.float32)
             s = x @ x.T
-            i, j = np.nonzero((s > last[:, None]) & (node[:, None] != node[None, :]))
+            i, j = np.nonzero((s > last[:, None]) & (side[:, None] != side[None, :]))
             us.append(node[i]), vs.append(node[j]), ss.append(s[i, j])
         if us:
             arrays = [pa.array(np.concatenate(us)), pa.array(np.concatenate(vs)), pa.array(np.concatenate(ss).astype(np.float32))]
@@ -149,22 +156,49 @@ def _distinct(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u", "v").agg(F.max("s").alias("s"))
 
 
-def refined(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """One round of neighbours-of-neighbours joins. A node gathers at most ``k`` neighbours and ``k`` that list it."""
-    forward = graph.select(F.col("u").alias("pivot"), F.col("v").alias("node"))
-    backward = _best(graph, k, "v", "u").select(F.col("v").alias("pivot"), F.col("u").alias("node"))
+def refined(graph: DataFrame, nodes: DataFrame, k: int, own: DataFrame | None = None) -> DataFrame:
+    """One round of neighbours-of-neighbours joins. A node gathers at most ``k`` neighbours and ``k`` that list it, and as many
+    of ``own``, a graph inside the sides."""
+    known_graph = graph if own is None else graph.unionByName(own)
+    forward = known_graph.select(F.col("u").alias("pivot"), F.col("v").alias("node"))
+    backward = _best(graph, k, "v", "u") if own is None else _best(graph, k, "v", "u").unionByName(_best(own, k, "v", "u"))
+    backward = backward.select(F.col("v").alias("pivot"), F.col("u").alias("node"))
     last = graph.groupBy("u").agg(F.when(F.count("*") >= k, F.min("s")).otherwise(F.lit(-2.0)).cast("float").alias("last"))
-    known = nodes.select("node", "unit").join(last.withColumnRenamed("u", "node"), "node", "left").select("node", "unit", F.coalesce("last", F.lit(-2.0).cast("float")).alias("last"))
+    known = nodes.select("node", "unit", "side").join(last.withColumnRenamed("u", "node"), "node", "left").select("node", "unit", "side", F.coalesce("last", F.lit(-2.0).cast("float")).alias("last"))
     gathered = forward.unionByName(backward).distinct().join(known.hint("merge"), "node")
-    pivots = gathered.groupBy("pivot").agg(F.collect_list(F.struct("node", "last", "unit")).alias("members")).select("members")
+    pivots = gathered.groupBy("pivot").agg(F.collect_list(F.struct("node", "last", "side", "unit")).alias("members")).select("members")
     offered = pivots.mapInArrow(_join_neighbours, EDGE)
     return staged(_best(_distinct(graph.unionByName(_distinct(offered))), k), "neighbours")
 
 
-def _audit(nodes: DataFrame, graph: DataFrame) -> float:
+def _links(edges: DataFrame) -> DataFrame:
+    return edges.where(F.col("s") >= LEAST - SLACK).select(F.col("u").alias("a"), F.col("v").alias("b"))
+
+
+def across(nodes: DataFrame, graph: DataFrame, k: int, orders: int, rounds: int, first: int) -> DataFrame:
+    """Links (a, b): those of the graph and, for saturated nodes, what they hide: links into other components."""
+    links = _links(graph)
+    full = graph.groupBy("u").agg(F.count("*").alias("n"), F.min("s").alias("last")).where((F.col("n") >= k) & (F.col("last") >= LEAST - SLACK))
+    full = staged(nodes.drop("side").join(full.select(F.col("u").alias("node")).hint("merge"), "node"), "saturated")
+    own = graph.join(full.select(F.col("node").alias("u")).hint("merge"), "u").join(full.select(F.col("node").alias("v")).hint("merge"), "v").select("u", "v", "s")
+    own = staged(own, "saturated-lists")
+    while True:
+        comp = components(links).withColumnRenamed("component", "side")
+        sided = staged(full.join(comp.hint("merge"), "node"), "sides")
+        if sided.groupBy("label", "dim").agg((F.min("side") < F.max("side")).alias("many")).where("many").isEmpty():
+            return links
+        lists = staged(_best(_distinct(_orders(sided, first, orders).mapInArrow(_beside, EDGE)), k), "across")
+        for _ in range(rounds):
+            lists = refined(lists, sided, k, own)
+        found = _links(lists)
+        if found.isEmpty():
+            return links
+        links, first = staged(links.unionByName(found), "links-across"), first + orders
+
+
+def _audit(nodes: DataFrame, links: DataFrame) -> float:
     """Share of the true links of ``AUDITED`` nodes that threshold edges find. A node counts as found if the audited one
     lists it or is listed by it, or both lie in the same component of threshold edges."""
-    links = graph.where(F.col("s") >= LEAST - SLACK).select(F.col("u").alias("a"), F.col("v").alias("b"))
     comp = staged(components(links), "audit-components")
     asked = nodes.orderBy(F.xxhash64("node")).limit(AUDITED).join(comp, "node", "left").select("node", "label", "dim", "unit", "component").collect()
 
@@ -188,16 +222,17 @@ def _audit(nodes: DataFrame, graph: DataFrame) -> float:
 
 
 def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS, orders: int = ORDERS, rounds: int = ROUNDS) -> DataFrame:
-    """Edges (u, v, s) of each node to its nearest found ones, refined until the audited recall is reached."""
-    graph = None
+    """Links (a, b) that connect what the search finds, refined until the audited recall is reached."""
+    graph, nodes = None, nodes.withColumn("side", F.col("node"))
     for extension in range(MOST_EXTENSIONS):
         seeds = _distinct(_orders(nodes, extension * orders, orders).mapInArrow(_beside, EDGE))
         graph = staged(_best(seeds if graph is None else _distinct(graph.unionByName(seeds)), k), "neighbours")
         for _ in range(rounds):
             graph = refined(graph, nodes, k)
-        if _audit(nodes, graph) >= WANTED_RECALL:
+        links = across(nodes, graph, k, orders, rounds, MOST_EXTENSIONS * orders)
+        if _audit(nodes, links) >= WANTED_RECALL:
             break
-    return graph
+    return links
 
 
 def _least_reachable(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -228,9 +263,8 @@ def _compare(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"node": a[some], "n": n[some].astype(np.int64), "partner": partner[some]})
 
 
-def exact_links(nodes: DataFrame, graph: DataFrame) -> DataFrame:
+def exact_links(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """(node, n, partner) rows: per node and tile the number of linked rows and one node reached by links."""
-    found = graph.where(F.col("s") >= LEAST - SLACK).select(F.col("u").alias("a"), F.col("v").alias("b"))
     members = staged(nodes.join(components(found).hint("merge"), "node").select("node", "component", "size", "unit", (F.xxhash64("node")).alias("h")), "link-members")
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     tiled = members.join(sizes.hint("merge"), "component").withColumn("tile", F.pmod("h", F.col("tiles")).cast("int")).drop("h")

@@ -288,3 +288,14 @@ def test_nn_descent_keeps_chains_whole(spark, tile, monkeypatch):
     for i, d in degrees.items():
         links = sum(abs(d - e) == 10 for e in degrees.values())
         assert got[i] == (links, 0 if d <= 30 else 4), i
+
+
+def test_nn_descent_links_tight_clumps(spark):
+    """Three clumps at 0.985 to the next, each of more members than a list has places, all of whose lists the own clump fills."""
+    draw, step = np.random.default_rng(8), math.acos(0.985)
+    centres = [np.r_[math.cos(i * step), math.sin(i * step), np.zeros(14)] for i in range(3)]
+    rows = [(40 * i + j, (c + draw.normal(scale=0.002, size=16)).tolist(), 1) for i, c in enumerate(centres) for j in range(40)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nndescent.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    unit = np.array([np.array(v) / np.linalg.norm(v) for _, v, _ in rows])
+    near = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    assert got == {i: (int(near[i]), 0) for i in range(120)}
