@@ -3,8 +3,9 @@
 Rows with the same label and vector are one class, and each class is a node. A neighbour graph starts from several sorted
 orders: per order, nodes are sorted by label and the signs of random projections, spread by range, and look at the nodes
 beside them. Each round then joins neighbours of neighbours: a node gathers its list and those that list it, compares all of
-them with each other and offers better neighbours. After some rounds recall is audited: the links of a bounded set of nodes
-are found by brute force, and while too few of them are in the graph, new orders and rounds follow.
+them with each other and offers better neighbours. After some rounds recall is audited: the links of nodes, of more the larger the
+table is and the rarer links are, are found by brute force, and while too few of them are in the graph, new orders and rounds
+follow; if those do not reach the recall, every node is asked. Links that an audit finds missing are added.
 
 A list whose last entry still is a link is saturated: it may hide further links, and a link whose two ends are saturated may be
 in no list. The lists of saturated nodes are enlarged in two ways. Outside their component of threshold edges: saturated nodes
@@ -20,6 +21,7 @@ component unless it has no other; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,8 @@ OFFERS = 5
 ROUNDS = 2
 MOST_EXTENSIONS = 4
 AUDITED = 256
+LINKED = 64  # asked nodes with true links that a verdict on the recall needs
+PASS = 8  # blocks of AUDITED nodes asked in one pass over the table
 WANTED_RECALL = 0.98
 TILE = 1024
 BITS = 30
@@ -196,33 +200,61 @@ def across(nodes: DataFrame, graph: DataFrame, k: int, orders: int, rounds: int,
         links, first = staged(links.unionByName(found), "links-across"), first + orders
 
 
-def _audit(nodes: DataFrame, links: DataFrame) -> float:
-    """Share of the true links of ``AUDITED`` nodes that threshold edges find. A node counts as found if the audited one
-    lists it or is listed by it, or both lie in the same component of threshold edges."""
-    comp = staged(components(links), "audit-components")
-    asked = nodes.orderBy(F.xxhash64("node")).limit(AUDITED).join(comp, "node", "left").select("node", "label", "dim", "unit", "component").collect()
+def _asked(rows: DataFrame, asked: list) -> DataFrame:
+    """(node, total, found, missed) of the asked nodes, by brute force over all rows, one row per batch with links: the number
+    of true links, of those inside the node's component, and of each other component that links reach one node."""
+    groups: dict[tuple[int, int], list] = {}
+    for q in asked:
+        groups.setdefault((q["dim"], q["label"]), []).append((q["node"], q["component"], bytes(q["unit"])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, label, dim = (batch.column(i).to_numpy() for i in range(3))
-            at, total, found = batch.column(4).to_pylist(), 0, 0
-            units = batch.column(3).to_pylist()
-            for d in np.unique(dim).tolist():
-                pick = np.flatnonzero(dim == d)
-                x = np.frombuffer(b"".join(units[i] for i in pick), np.float64).reshape(len(pick), d)
-                for q in (q for q in asked if q["dim"] == d):
-                    near = (x @ np.frombuffer(bytes(q["unit"]), np.float64) >= LEAST) & (label[pick] == q["label"]) & (node[pick] != q["node"])
-                    total += int(near.sum())
-                    found += sum(q["component"] is not None and at[i] == q["component"] for i in pick[near])
-            yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([found])], names=["total", "found"])
-
-    rows = nodes.join(comp.hint("merge"), "node", "left").select("node", "label", "dim", "unit", "component")
-    seen = rows.mapInArrow(run, "total long, found long").agg(F.sum("total"), F.sum("found")).first()
-    return (seen[1] / seen[0]) if seen[0] else 1.0
+            node, label, dim, at = (batch.column(i).to_numpy() for i in (0, 1, 2, 4))
+            units, out = batch.column(3), []
+            for (d, k), some in groups.items():
+                pick = np.flatnonzero((dim == d) & (label == k))
+                if not len(pick):
+                    continue
+                y = np.frombuffer(b"".join(u for _, _, u in some), np.float64).reshape(len(some), d)
+                for low in range(0, len(pick), 512):
+                    part = pick[low : low + 512]
+                    x = np.frombuffer(b"".join(units.take(pa.array(part)).to_pylist()), np.float64).reshape(len(part), d)
+                    near = y @ x.T >= LEAST
+                    for i in np.flatnonzero(near.any(axis=1)):
+                        q, component, _ = some[i]
+                        linked = part[near[i] & (node[part] != q)]
+                        other = linked[at[linked] != component]
+                        if len(linked):
+                            out.append((q, len(linked), len(linked) - len(other), node[other[np.unique(at[other], return_index=True)[1]]].tolist()))
+            columns = list(zip(*out)) or [()] * 4
+            kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds)], names=["node", "total", "found", "missed"])
+
+    return staged(rows.mapInArrow(run, "node long, total long, found long, missed array<long>"), "audit")
+
+
+def audited(nodes: DataFrame, links: DataFrame, whole: bool = False) -> tuple[DataFrame, float]:
+    """The links with those that the audit found missing, and the recall: of the asked nodes with true links, the mean share of
+    them inside the node's component. Nodes are asked in random order, ``AUDITED`` times the cube root of the table at least,
+    until ``LINKED`` have true links. If that takes all nodes, or for a ``whole`` audit, nothing is missing any more and the
+    recall is 1."""
+    component = F.coalesce("component", "node").alias("component")
+    rows = staged(nodes.join(components(links).hint("merge"), "node", "left").select("node", "label", "dim", "unit", component), "audit-components")
+    blocks = max(1, math.ceil(rows.count() / AUDITED))
+    at, least, linked, shares = 0, math.ceil(blocks ** (1 / 3)), 0, 0.0
+    block = F.pmod(F.xxhash64("node"), F.lit(blocks))
+    while at < blocks and (whole or at < least or linked < LINKED):
+        seen = _asked(rows, rows.where((block >= at) & (block < at + PASS)).collect())
+        n, share = seen.groupBy("node").agg((F.sum("found") / F.sum("total")).alias("share")).agg(F.count("*"), F.sum("share")).first()
+        links = links.unionByName(seen.select(F.col("node").alias("a"), F.explode("missed").alias("b")))
+        at, linked, shares = at + PASS, linked + n, shares + (share or 0.0)
+        links = staged(links, "links-audited") if at % (32 * PASS) == 0 else links  # keeps the plan short
+    return staged(links, "links-audited"), 1.0 if at >= blocks else shares / linked
 
 
 def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS, orders: int = ORDERS, rounds: int = ROUNDS) -> DataFrame:
-    """Links (a, b) that connect what the search finds, refined until the audited recall is reached."""
+    """Links (a, b) that connect what the search finds, refined until the audited recall is reached, or else completed by
+    asking every node."""
     graph, nodes = None, nodes.withColumn("side", F.col("node"))
     for extension in range(MOST_EXTENSIONS):
         seeds = _distinct(_orders(nodes, extension * orders, orders).mapInArrow(_beside, EDGE))
@@ -230,9 +262,10 @@ def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS, orders: int = ORDERS,
         for _ in range(rounds):
             graph = refined(graph, nodes, k)
         links = across(nodes, graph, k, orders, rounds, MOST_EXTENSIONS * orders)
-        if _audit(nodes, links) >= WANTED_RECALL:
-            break
-    return links
+        links, recall = audited(nodes, links)
+        if recall >= WANTED_RECALL:
+            return links
+    return audited(nodes, links, whole=True)[0]
 
 
 def _least_reachable(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -299,3 +299,16 @@ def test_nn_descent_links_tight_clumps(spark):
     unit = np.array([np.array(v) / np.linalg.norm(v) for _, v, _ in rows])
     near = (unit @ unit.T >= 0.98).sum(axis=1) - 1
     assert got == {i: (int(near[i]), 0) for i in range(120)}
+
+
+def test_nn_descent_finds_rare_links_when_the_search_fails(spark, monkeypatch):
+    """Ten linked pairs among 620 vectors and a search without any links: all come from the audit."""
+    monkeypatch.setattr(nndescent, "refined", lambda graph, *_: graph)
+    monkeypatch.setattr(nndescent, "across", lambda nodes, graph, *_: nndescent._links(graph.limit(0)))
+    monkeypatch.setattr(nndescent, "MOST_EXTENSIONS", 1)
+    draw = np.random.default_rng(9)
+    rows = [(i, draw.normal(size=32).tolist(), 1) for i in range(610)]
+    rows += [(610 + i, [x + 1e-3 for x in rows[61 * i][1]], 1) for i in range(10)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nndescent.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    want = {i: (0, i) for i in range(610)} | {61 * i: (1, 61 * i) for i in range(10)} | {610 + i: (1, 61 * i) for i in range(10)}
+    assert got == want
