@@ -6,8 +6,9 @@ tokens without a keyword). An interval join in Spark links, inside a scope, a se
 the same text whose gap is at most ``SCOPE`` characters and between which no blank line lies. A weak secret is reported only
 if such a complement exists; identifiers and endpoints only if they stand by a secret, base ones included.
 
-The join is keyed by document and stretch of ``SCOPE`` characters, each part being entered in its own and the next stretch,
-so a text of any length is spread over stretches, and a stretch holds a bounded number of parts. Offsets are code points, ends
+The join is keyed by document and stretch of ``SCOPE`` characters. A secret is entered in all stretches that it touches, its
+complements in all that they touch when widened by ``SCOPE``, and a pair counts in the first stretch that both have. So a text
+of any length is spread over stretches, and a stretch holds a bounded number of parts. Offsets are code points, ends
 exclusive. Defined results: null and empty texts have no spans; equal rows get equal spans; null ids are scanned like others.
 """
 
@@ -108,18 +109,20 @@ def scan(docs: DataFrame) -> DataFrame:
 def linked(found: DataFrame) -> DataFrame:
     """(doc_id, digest, added): per document the weak secrets, identifiers and endpoints that complement each other."""
     part = found.select("doc_id", "digest", F.explode("parts").alias("p")).select("doc_id", "digest", "p.*").distinct()
-    part = part.withColumn("stretch", F.floor(F.col("start") / SCOPE))
+    stretches = lambda low, high: F.sequence(F.floor(low / SCOPE), F.floor(high / SCOPE))
     is_secret = F.col("kind").isin("assign", "hex", "weak")
     is_other = F.col("kind").isin("access", "identifier", "endpoint")
-    near = F.explode(F.array(F.col("stretch") - 1, F.col("stretch"), F.col("stretch") + 1))
-    secret = part.where(is_secret).select(*(F.col(c).alias(f"s_{c}") for c in part.columns))
-    other = part.where(is_other).withColumn("stretch", near)
+    secret = part.where(is_secret).withColumn("met", stretches(F.col("start"), F.col("stop")))
+    secret = secret.select(*(F.col(c).alias(f"s_{c}") for c in part.columns), F.col("met")[0].alias("s_first"), F.explode("met").alias("s_stretch"))
+    other = part.where(is_other).withColumn("met", stretches(F.col("start") - SCOPE, F.col("stop") + SCOPE))
+    other = other.select(*part.columns, F.col("met")[0].alias("first"), F.explode("met").alias("stretch"))
     pairs = secret.join(
         other,
         F.col("s_doc_id").eqNullSafe(F.col("doc_id"))
         & (F.col("s_digest") == F.col("digest"))
         & (F.col("s_scope") == F.col("scope"))
         & (F.col("s_stretch") == F.col("stretch"))
+        & (F.col("stretch") == F.greatest("first", "s_first"))
         & (F.col("start") - F.col("s_stop") <= SCOPE)
         & (F.col("s_start") - F.col("stop") <= SCOPE),
     )

@@ -312,3 +312,15 @@ def test_nn_descent_finds_rare_links_when_the_search_fails(spark, monkeypatch):
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nndescent.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
     want = {i: (0, i) for i in range(610)} | {61 * i: (1, 61 * i) for i in range(10)} | {610 + i: (1, 61 * i) for i in range(10)}
     assert got == want
+
+
+def test_secret_links_equal_all_pairs_at_any_offset(spark):
+    """Long and short parts on both sides of gaps around the scope, moved over the borders of stretches."""
+    weak = [hashlib.sha512(bytes([i])).hexdigest().upper()[:40] for i in range(2)] + ["".join(hashlib.sha512(bytes([i])).hexdigest().upper() for i in range(9))]
+    urls, rows, want = ["https://a.example/x", "https://a.example/" + "y" * 900], [], {}
+    for w, url, gap, shift, turned in itertools.product(weak, urls, (5, 390, 400, 401), (0, 150, 370), (False, True)):
+        ends = (url, w) if turned else (w, url)
+        want[len(rows)] = gap <= 400
+        rows.append((len(rows), "-" * shift + " " + ends[0] + " " + "." * (gap - 2) + " " + ends[1]))
+    got = {r["doc_id"]: r["spans"] for r in secrets.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: "weak:" in s and "endpoint:" in s for i, s in got.items()} == want
