@@ -1,8 +1,9 @@
 """Secret scans with multipart credential linking.
 
 Three base kinds are found by pattern in every whole text. Beside them, parts of a credential are collected that say little
-alone: identifiers (client_id = ..., account: ..., access keys), endpoints (URLs, host:port) and weak secrets (long mixed
-tokens without a keyword). An interval join in Spark links, inside a scope, a secret with identifiers and endpoints: parts of
+alone: identifiers (client_id = ..., account: ..., access keys), endpoints (URLs of any scheme, host:port) and weak secrets (long
+mixed tokens without a keyword, also as the user or password of a URL). A host is a dotted name, an IPv4 or bracketed IPv6
+address, or a bare name that is no keyword of a credential; a port is 1 to 65535. An interval join in Spark links, inside a scope, a secret with identifiers and endpoints: parts of
 the same text whose gap is at most ``SCOPE`` characters and between which no blank line lies. A weak secret is reported only
 if such a complement exists; identifiers and endpoints only if they stand by a secret, base ones included.
 
@@ -30,7 +31,11 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 IDENTIFIER = re.compile(r"""(?:client|account|tenant|user|key|app)_?(?:id|name)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""", re.IGNORECASE | re.ASCII)
-ENDPOINT = re.compile(r"https?://[^\s\"'<>]+")
+URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,30}://[^\s\"'<>]+")
+PORT = re.compile(r":([0-9]{1,5})(?![0-9A-Za-z_:]|\.[0-9])", re.ASCII)
+HOST = re.compile(r"(?:(?<![A-Za-z0-9._-])[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?|\[[0-9A-Fa-f:.]+\])$")
+NO_HOST = re.compile(r"[0-9.-]*|.*(?:password|passwd|secret|token|key|id|name)", re.IGNORECASE)
+IPV4 = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 WEAK = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}")
 KINDS = ("assign", "access", "hex", "weak", "identifier", "endpoint")
 
@@ -66,13 +71,40 @@ def _is_weak(token: str) -> bool:
     return all(kinds) and _entropy(token) >= WEAK_BITS
 
 
+def endpoints(text: str) -> list[Span]:
+    """URLs, and host:port outside them."""
+    ends = [("endpoint", m.start(), m.end()) for m in URL.finditer(text)] if "://" in text else []
+    at, urls = 0, len(ends)
+    for m in PORT.finditer(text):
+        while at < urls and ends[at][2] <= m.start():
+            at += 1
+        host = HOST.search(text, max(0, m.start() - 255), m.start())
+        if not host or not 0 < int(m[1]) <= 65535 or at < urls and ends[at][1] <= m.start():
+            continue
+        if IPV4.fullmatch(host[0]) or not NO_HOST.fullmatch(host[0]):
+            ends.append(("endpoint", host.start(), m.end()))
+    return ends
+
+
+def _user_part(text: str, a: int, b: int) -> int:
+    """Where the user and password of the URL end, or its start if it has none."""
+    low = text.find("://", a, b) + 3
+    high = re.compile(r"[/?#]").search(text, low, b)
+    at = text.rfind("@", low, high.start() if high else b) if low > 2 else -1
+    return a if at < 0 else at
+
+
 def parts(text: str, base: list[Span]) -> list[Span]:
     """Candidate parts outside the base spans; only texts with a secret of either kind give any."""
     covered = [(a, b) for _, a, b in base]
     clear = lambda m: all(m.end() <= a or b <= m.start() for a, b in covered)
-    ends = [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)] if "://" in text else []
-    inside = lambda m: any(a <= m.start() < b for _, a, b in ends)
-    weak = [("weak", m.start(), m.end()) for m in WEAK.finditer(text) if _is_weak(m[0]) and clear(m) and not inside(m)]
+    tokens = [m for m in WEAK.finditer(text) if _is_weak(m[0]) and clear(m)]
+    if not tokens and not base:
+        return []
+    ends = [e for e in endpoints(text) if text.find("://", e[1], e[2]) >= 0 or all(e[2] <= a or b <= e[1] for a, b in covered)]
+    shown = [(_user_part(text, a, b), b) for _, a, b in ends]
+    inside = lambda m: any(a <= m.start() < b for a, b in shown)
+    weak = [("weak", m.start(), m.end()) for m in tokens if not inside(m)]
     if not weak and not base:
         return []
     return weak + ends + [("identifier", m.start(), m.end()) for m in IDENTIFIER.finditer(text) if clear(m)]

@@ -324,3 +324,18 @@ def test_secret_links_equal_all_pairs_at_any_offset(spark):
         rows.append((len(rows), "-" * shift + " " + ends[0] + " " + "." * (gap - 2) + " " + ends[1]))
     got = {r["doc_id"]: r["spans"] for r in secrets.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {i: "weak:" in s and "endpoint:" in s for i, s in got.items()} == want
+
+
+@pytest.mark.parametrize(
+    "endpoint", "postgres://db.example/x mysql://h/x redis://h:6379 s3://bucket/x ftp://h/x db.example.com:5432 10.0.0.7:3306 [::1]:6379 localhost:8080 redis:6379".split()
+)
+def test_endpoints_of_every_kind_complement_a_weak_secret(endpoint):
+    weak = "Zk3vQ9xT7bLm2RwY8pHd"
+    text = f"see {endpoint}, then {weak} here"
+    assert ("endpoint", 4, 4 + len(endpoint) + ("://" in endpoint)) in secrets.parts(text, []) and ("weak", text.index(weak), text.index(weak) + 20) in secrets.parts(text, [])
+    assert not [k for k, _, _ in secrets.parts(f"at 12:30, a::7, password:1234 and host:99999 {weak}", []) if k == "endpoint"]
+
+
+def test_secret_inside_a_database_url_is_blotted(spark):
+    made = spark.createDataFrame([(1, "use postgres://app:Zk3vQ9xT7bLm2RwY8pHd@db.example/x now")], "doc_id long, text string")
+    assert secrets.redact(made).first()["text"] == "use postgres://app:[SECRET]@db.example/x now"
