@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, crf, lm, nndescent, packing, rules, secrets, simhash, toxicity, warc
+from . import alignment, bpe, crf, lm, nndescent, packing, rank_queue, rules, secrets, simhash, toxicity, warc
 
 QUERIES = {
     build.__name__: build
@@ -17,6 +17,8 @@ QUERIES = {
         nndescent.op8_nn_descent,
         lm.op9_log_bilinear,
         rules.op10_quality_rules,
+        rank_queue.op12_rank_queue_bpe,
+        alignment.op13_token_alignment,
     )
 }
 SQL = {"op5_warc": warc.SQL, "op10_quality_rules": rules.SQL}
