@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, bpe, crf, lm, nndescent, packing, rank_queue, rules, secrets, simhash, toxicity, warc
+from . import alignment, bpe, crf, lm, nndescent, packing, prefix_trie, rank_queue, rules, secrets, simhash, toxicity, warc
 
 QUERIES = {
     build.__name__: build
@@ -17,8 +17,9 @@ QUERIES = {
         nndescent.op8_nn_descent,
         lm.op9_log_bilinear,
         rules.op10_quality_rules,
+        prefix_trie.op11_prefix_trie,
         rank_queue.op12_rank_queue_bpe,
         alignment.op13_token_alignment,
     )
 }
-SQL = {"op5_warc": warc.SQL, "op10_quality_rules": rules.SQL}
+SQL = {"op5_warc": warc.SQL, "op10_quality_rules": rules.SQL, "op11_prefix_trie": prefix_trie.SQL}
