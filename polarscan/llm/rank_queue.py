@@ -3,9 +3,10 @@
 A pre-token's tokens are a linked list over its byte positions. Every neighbouring pair that the rank file knows waits in the
 bucket of its merge rank, as the position where the pair begins. A bitmap of two levels marks the ranks with a bucket: one bit
 per rank, gathered in words, and one bit per word that is not zero, so the next rank is two find-first-set steps away, whatever
-the pre-token's length. Within a bucket the leftmost position goes first. A merge changes the pairs on both sides; their old
-entries stay and are skipped when they come up, because the pair that begins there has another rank by then. The work is
-proportional to the pre-token's bytes (times the logarithm of a bucket), so a megabyte without a break is no special case.
+the pre-token's length. A bucket is emptied from left to right; a merge changes the pairs on both sides, whose old entries stay
+and are skipped when they come up, because another pair begins there by then. If a new pair's rank is lower, the rest of the
+bucket waits. Several pre-tokens share a queue, so that one step serves all that have the rank. The work is proportional to
+the bytes (times the logarithm of a bucket), so a megabyte without a break is no special case.
 
 Texts are cut where white space follows something else, which is always an edge of the pattern's matches, so a long text is
 split run by run in bounded memory; only a run without such an edge is taken whole. Ids that a pre-token has are remembered
@@ -20,8 +21,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from collections.abc import Iterator
-from heapq import heappop, heappush
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 from .common import as_texts, table, texts
 
-RUN = 1 << 16  # code points that are split at once
+RUN = 1 << 20  # code points that are split and encoded at once
 REMEMBERED = 300_000
-REMEMBERED_BYTES = 64  # longer pre-tokens are not remembered
+REMEMBERED_LENGTH = 64  # longer pre-tokens are not remembered
 BATCH_BYTES = 8 << 20
 
 EDGE = regex.compile(r"\S(?=\s)")
@@ -65,80 +65,129 @@ class RankCoder:
         for piece, rank in ranks.items():
             self.pieces[rank] = piece
         self.known: dict[str, bytes] = {}
-        # The queue: positions by rank, and the bitmap over them. All of it is empty between two pre-tokens.
+        # The queue: positions by rank, and the bitmap over them. All of it is empty between two calls.
         self.shift = max(1, ((n - 1).bit_length() + 1) // 2)
         self.words = [0] * ((n >> self.shift) + 1)
         self.buckets: list[list[int] | None] = [None] * n
-        self.bytes_pair = [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
-
-    def merged(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        n = len(piece)
-        find, buckets, words, shift = ranks.get, self.buckets, self.words, self.shift
-        mask, top = (1 << shift) - 1, 0
-        after = list(range(1, n + 2))  # where the next token begins; n ends the list
+        self.byte_rank = np.array([ranks[bytes([b])] for b in range(256)])
+        self.pair_rank = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)])
+
+    def _fill(self, pair: np.ndarray) -> int:
+        """Puts all first pairs into their buckets, in order of position; returns the upper level of the bitmap."""
+        at = np.flatnonzero(pair >= 0)
+        at = at[np.argsort(pair[at], kind="stable")]
+        ranks, first = np.unique(pair[at], return_index=True)
+        places, cuts, top = at.tolist(), [*first.tolist(), len(at)], 0
+        for rank, low, high in zip(ranks.tolist(), cuts, cuts[1:]):
+            self.buckets[rank] = places[low:high]
+            word = rank >> self.shift
+            self.words[word] |= 1 << (rank & (1 << self.shift) - 1)
+            top |= 1 << word
+        return top
+
+    def merged(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of each of some pre-tokens. They lie end to end in one list that no pair crosses from one to the next; the
+        order of merges inside each is the same as if it were alone."""
+        find, buckets, words, shift = self.ranks.get, self.buckets, self.words, self.shift
+        mask = (1 << shift) - 1
+        data = b"".join(pieces)
+        n, ends = len(data), np.cumsum([len(p) for p in pieces])
+        values = np.frombuffer(data, np.uint8).astype(np.int64)
+        first = np.full(n, -1)
+        first[:-1] = self.pair_rank[values[:-1] << 8 | values[1:]]
+        first[ends - 1] = -1
+        top, pair = self._fill(first), first.tolist()  # pair: rank of the pair that begins here, -1: none, or no token begins here
+        token = self.byte_rank[values].tolist()  # rank of the token that begins here, -1: none
+        edge = np.zeros(n + 1, bool)
+        edge[ends] = edge[0] = True
+        at_edge = edge.tolist()
+        after = list(range(1, n + 2))  # where the next token begins
         before = list(range(-1, n))
-        known = self.bytes_pair
-        pair = [known[a << 8 | b] for a, b in zip(piece, piece[1:])]  # rank of the pair that begins here, -1: none
-        pair += (-1, -1)
-        due = [i for i, rank in enumerate(pair) if rank >= 0]
-        while True:
-            for i in due:  # put: a new bucket sets its bit in both levels
-                rank = pair[i]
-                bucket = buckets[rank]
-                if bucket is None:
-                    buckets[rank] = [i]
-                    word = rank >> shift
-                    words[word] |= 1 << (rank & mask)
-                    top |= 1 << word
-                else:
-                    heappush(bucket, i)
-            if not top:
-                break
-            word = (top & -top).bit_length() - 1  # pop: two find-first-set steps, then the leftmost position
+        opened: list[int] = []
+        while top:
+            word = (top & -top).bit_length() - 1  # two find-first-set steps to the lowest rank
             bits = words[word]
-            rank = word << shift | (bits & -bits).bit_length() - 1
+            low = bits & -bits
+            rank = word << shift | low.bit_length() - 1
             bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
-                buckets[rank] = None
-                bits &= bits - 1
-                words[word] = bits
-                if not bits:
-                    top &= top - 1
-            due = []
-            if pair[i] != rank:
-                continue  # stale: another pair begins here by now, or no token does
-            gone = after[i]
-            end = after[gone]
-            after[i] = end
-            before[end] = i
-            pair[gone] = -1
-            left = before[i]
-            if left >= 0:
-                pair[left] = new = find(piece[left:end], -1)
-                if new >= 0:
-                    due.append(left)
-            pair[i] = new = find(piece[i : after[end]], -1) if end < n else -1
-            if new >= 0:
-                due.append(i)
-        ids, i = [], 0
-        while i < n:
-            ids.append(ranks[piece[i : after[i]]])
-            i = after[i]
-        return ids
-
-    def _new(self, match: str) -> bytes:
-        ids = np.array(self.merged(match.encode()), "<u4").tobytes()
-        if len(match) <= REMEMBERED_BYTES:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[match] = ids
-        return ids
+            buckets[rank] = None
+            words[word] = bits = bits ^ low
+            if not bits:
+                top &= top - 1
+            bucket.sort()  # leftmost first
+            for done, i in enumerate(bucket, 1):
+                if pair[i] != rank:
+                    continue  # stale: another pair begins here by now, or no token does
+                gone = after[i]
+                end = after[gone]
+                after[i] = end
+                before[end] = i
+                pair[gone] = token[gone] = -1
+                token[i] = least = rank
+                pair[i] = -1
+                if not at_edge[end]:
+                    new = find(data[i : after[end]])
+                    if new is not None:
+                        pair[i] = new
+                        other = buckets[new]
+                        if other is None:
+                            buckets[new] = [i]
+                            opened.append(new)
+                        else:
+                            other.append(i)
+                if not at_edge[i]:
+                    left = before[i]
+                    new = find(data[left:end])
+                    if new is None:
+                        pair[left] = -1
+                    else:
+                        pair[left] = new
+                        other = buckets[new]
+                        if other is None:
+                            buckets[new] = [left]
+                            opened.append(new)
+                        else:
+                            other.append(left)
+                if opened:  # new buckets set their bits
+                    for new in opened:
+                        words[new >> shift] |= 1 << (new & mask)
+                        top |= 1 << (new >> shift)
+                    least = min(opened)
+                    opened.clear()
+                if least < rank and done < len(bucket):  # a lower rank is due before the rest of this bucket
+                    rest = bucket[done:]
+                    buckets[rank] = rest if buckets[rank] is None else buckets[rank] + rest
+                    words[rank >> shift] |= 1 << (rank & mask)
+                    top |= 1 << (rank >> shift)
+                    break
+        tokens = np.array(token, np.int64)
+        places = np.flatnonzero(tokens >= 0)
+        cuts = np.searchsorted(places, ends)
+        return np.split(tokens[places].astype("<u4"), cuts[:-1])
+
+    def _learn(self, matches: set[str]) -> None:
+        """Ids of matches not met before: that of the whole, where the rank file has it, else by merging."""
+        known, rest = self.known, []
+        for match in matches:
+            rank = self.ranks.get(match.encode())
+            if rank is None:
+                rest.append(match)
+            else:
+                known[match] = rank.to_bytes(4, "little")
+        if rest:
+            known.update((match, ids.tobytes()) for match, ids in zip(rest, self.merged([match.encode() for match in rest])))
+
+    def _ids(self, matches: list[list[str]]) -> list[bytes]:
+        """Ids of lists of matches."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = set().union(*matches).difference(self.known)
+        self._learn(new)
+        found = [b"".join(map(self.known.__getitem__, some)) for some in matches]
+        for match in new:
+            if len(match) > REMEMBERED_LENGTH:
+                del self.known[match]
+        return found
 
     def runs(self, text: str) -> Iterator[str]:
         """The text in runs of about ``RUN`` code points that end at an edge of the pattern's matches."""
@@ -151,12 +200,22 @@ class RankCoder:
             low = edge.end()
         yield text[low:]
 
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """Ids of all matches of the pattern in each text, in order, as unsigned 32-bit integers."""
+        held, size = [], 0
+        for text in texts:
+            if len(text) <= RUN:
+                held.append(self.matches.findall(text))
+                size += len(text)
+            if size > RUN or len(text) > RUN:
+                yield from (np.frombuffer(ids, "<u4") for ids in self._ids(held))
+                held, size = [], 0
+            if len(text) > RUN:
+                yield np.frombuffer(b"".join(self._ids([self.matches.findall(run)])[0] for run in self.runs(text)), "<u4")
+        yield from (np.frombuffer(ids, "<u4") for ids in self._ids(held))
+
     def encode(self, text: str) -> np.ndarray:
-        """Ids of all matches of the pattern, in order, as unsigned 32-bit integers."""
-        known, new, found = self.known.get, self._new, []
-        for run in self.runs(text):
-            found.append(b"".join([known(match) or new(match) for match in self.matches.findall(run)]))
-        return np.frombuffer(b"".join(found), "<u4")
+        return next(self.encode_all([text]))
 
     def decode(self, ids: np.ndarray) -> bytes:
         pieces = self.pieces
@@ -194,8 +253,8 @@ def encoded(docs: DataFrame, path: str, split: str) -> DataFrame:
     """(doc_id, ids) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = coder(path, split).encode
-        rows = ((i, encode(text).view("<i4")) for b in batches for i, text in zip(b.column(0).to_pylist(), as_texts(b.column(1))))
+        encode = coder(path, split).encode_all
+        rows = ((i, ids.view("<i4")) for b in batches for i, ids in zip(b.column(0).to_pylist(), encode(as_texts(b.column(1)))))
         yield from _rows(rows, {"doc_id": pa.int64(), "ids": pa.list_(pa.int32())}, lambda row: row[1].nbytes + 16)
 
     return texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
