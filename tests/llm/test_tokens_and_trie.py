@@ -60,6 +60,7 @@ def test_rank_queue_on_ranks_that_merge_out_of_order():
         draw.shuffle(order)
         ranks = {bytes([b]): b for b in range(256)} | {w: 256 + k for k, w in enumerate(order)}
         coder = rank_queue.RankCoder(ranks, r"(?s).+")
+        pieces, want = [], []
         for _ in range(60):
             piece = "".join(draw.choice("abc") for _ in range(draw.randint(1, 40))).encode()
             parts = [bytes([b]) for b in piece]
@@ -68,7 +69,11 @@ def test_rank_queue_on_ranks_that_merge_out_of_order():
                 if rank == 10**9:
                     break
                 parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            assert coder.merged(piece) == ([ranks[piece]] if piece in ranks else [ranks[p] for p in parts])
+            pieces.append(piece)
+            want.append([ranks[p] for p in parts])
+        assert [ids.tolist() for ids in coder.merged(pieces)] == want
+        assert [ids.tolist() for piece in pieces for ids in coder.merged([piece])] == want
+        assert not any(coder.words) and not any(coder.buckets)
 
 
 def test_rank_queue_rejects_bad_input():
