@@ -304,7 +304,8 @@ def volume_packs(tilt_packs: DataFrame) -> DataFrame:
     slabs = F.array_sort(F.collect_list(F.struct("tilt_idx", "tilt", "slab_mask", "slab_values")))
 
     def joined(name: str) -> Column:
-        return F.aggregate(F.col("s"), F.lit(b""), lambda acc, x: F.concat(acc, x[name]))
+        # one join in order: concatenating slab after slab would copy the volume once per slab
+        return F.unhex(F.array_join(F.transform("s", lambda x: F.hex(x[name])), ""))
 
     return (
         tilt_packs.groupBy("volume_id", "product", "num_gates")

@@ -96,8 +96,8 @@ class Engine:
         return {"success": True, "status": "resumed"}
 
     def run_once(self, now: str | None = None) -> None:
-        """Processes what is listed now, then returns."""
-        self._start(available_now=True, now=now).awaitTermination()
+        """Processes what is listed now, in bounded batches, then returns."""
+        ingest.drained(lambda: self._start(available_now=True, now=now))
 
     def _start(self, available_now: bool, now: str | None = None) -> StreamingQuery:
         checkpoint = f"{self.store.base}/checkpoint"

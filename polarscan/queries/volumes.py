@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from ..operators import framing, metadata, pack, points, quality, raster
 from ..plans import decode as d
-from ..session import scratch_path
+from ..products import ALL_PRODUCTS
+from ..session import materialize, scratch_path
 from ..sources import containers, rda
 from . import mapping as m
 from . import synth
@@ -379,3 +380,33 @@ def packed_lookup(spark, sf):
     codes = packs.select("volume_id", "tilt_idx", bits.alias("bit_idx"), pack.values_at("bitmask", "values", bits).alias("q"))
     found = codes.select("volume_id", "tilt_idx", F.explode(F.arrays_zip("bit_idx", "q")).alias("cell"))
     return found.select("volume_id", "tilt_idx", "cell.bit_idx", "cell.q").where(F.col("q") > 0)
+
+
+_FINE = "CAST(floor(az * 2 + 0.01) AS INTEGER) % 720"
+
+
+@query(
+    f"""WITH {RAW}, {_TILTS}, cell AS (SELECT volume_id, product, tilt_idx, num_rays, gate, ngates, {_FINE} AS fine,
+        CASE WHEN num_rays = 720 THEN {_FINE} ELSE CAST(floor(az + 0.01) AS INTEGER) % 360 END AS ray,
+        CASE product WHEN 'velocity' THEN {m.sql_quantize('value', -100, 100)} ELSE {m.sql_quantize('value', -32, 94.5)} END AS q FROM val JOIN tl USING (volume_id, cut)),
+      full_ray AS (SELECT volume_id, product, tilt_idx, gate, ngates, unnest(CASE WHEN num_rays = 360 THEN [fine, (fine + 1) % 720] ELSE [fine] END) AS ray, q FROM cell),
+      placed AS (SELECT 'tilt' AS kind, volume_id, product, tilt_idx, CAST(ray AS BIGINT) * ngates + gate AS bit_idx, q FROM cell
+        UNION ALL SELECT 'volume', volume_id, product, -1, (CAST(tilt_idx AS BIGINT) * 720 + ray) * ngates + gate, q FROM full_ray)
+      SELECT kind, volume_id, product, tilt_idx, bit_idx, max(q) AS q FROM placed WHERE q > 0 AND bit_idx % {PROBE_STEP} = 0 GROUP BY ALL"""
+)
+def packed_lookup_directory(spark, sf):
+    """Cells of tilts and whole volumes, all products, read through the stored rank directory by Spark expressions alone; bit
+    positions spread over each whole grid, cells without data left out."""
+    tilts = d.decode(synth.volumes(spark, sf), ALL_PRODUCTS).tilt_packs()
+    whole = raster.volume_packs(tilts).select(F.lit("volume").alias("kind"), "volume_id", "product", F.lit(-1).alias("tilt_idx"), "bitmask", "values")
+    packs = whole.unionByName(tilts.select(F.lit("tilt").alias("kind"), "volume_id", "product", "tilt_idx", "bitmask", "values"))
+    stored = materialize(pack.with_directory(packs), "directory")
+    return _probed(stored)
+
+
+def _probed(stored):
+    last = F.greatest(F.octet_length("bitmask").cast("bigint") * 8 - 1, F.lit(0).cast("bigint"))
+    bits = F.sequence(F.lit(0).cast("bigint"), last, F.lit(PROBE_STEP).cast("bigint"))
+    read = F.transform(bits, lambda b: F.struct(b.alias("bit_idx"), pack.code_at(b).alias("q")))
+    found = stored.select("kind", "volume_id", "product", "tilt_idx", F.explode(F.filter(read, lambda c: c["q"] > 0)).alias("cell"))
+    return found.select("kind", "volume_id", "product", "tilt_idx", "cell.bit_idx", "cell.q")
