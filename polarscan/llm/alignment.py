@@ -1,10 +1,10 @@
 """Alignment of two tokenizers' tokens over the same bytes.
 
 Each text is encoded by both tokenizers. Where a token ends is first read from the tokenizers' own spans: character offsets of
-the one, turned into bytes by the text's character widths, and the byte spans of the other's proto. These cuts are coarse: tokens
+the one, turned into bytes by the text's character widths, and the byte spans of the other. These cuts are coarse: tokens
 that split a character share its span, and byte-fallback tokens have none of their own. Such tokens are placed by the bytes they
 decode to, counted from the last clean cut before them. Offsets where both tokenizations have a token end cut the text into
-groups; all tokens of a group are linked with each other.
+groups; all tokens of a group are linked with each other. Texts are encoded in segments that no token can reach over.
 
 Counting: a block holds a run of documents (about ``BLOCK_BYTES`` of text) as digests and, per document, its linked id pairs as
 codes into the block's list of distinct pairs, with the number of links. Only that list is shuffled: pairs are counted over all
@@ -21,7 +21,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from operator import itemgetter
 from typing import NamedTuple
@@ -39,6 +40,10 @@ BLOCK_BYTES = 16 << 20
 ROWS = 1 << 16  # rows of an Arrow batch
 LINKS = 1 << 20  # links of a document that are held before equal ones are added up
 SPACE = "▁"
+SPACED = re.compile(r" +[^ ]*")
+RUN = 1 << 19
+REMEMBERED = 200_000
+REMEMBERED_LENGTH = 64  # longer segments are not remembered
 
 
 def tokenizer_files(a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model") -> tuple[str, str]:
@@ -76,13 +81,83 @@ def refined(coarse: np.ndarray, clean: np.ndarray, lengths: np.ndarray) -> np.nd
     return np.where(clean, coarse, base + total)
 
 
-class ByteLevel:
-    """The byte-level tokenizer: tokens with character offsets."""
+class Spans(NamedTuple):
+    ids: np.ndarray
+    coarse: np.ndarray  # byte where each token ends, as the tokenizer tells it
+    clean: np.ndarray  # the token shares no character with the next one
+
+
+class Segmented:
+    """Encodes texts segment by segment, between places that no token can reach over.
+
+    What the tokens of a segment are and where they end is worked out once per distinct segment and worker, many segments in
+    one call. The table holds about ``REMEMBERED`` segments and is emptied when full, which costs time and changes nothing."""
+
+    pieces: Strings
+
+    def __init__(self):
+        self.known: dict[str, bytes | None] = {}
+
+    def segments(self, spaced: str) -> list[str]:
+        raise NotImplementedError
+
+    def spans(self, segments: list[str]) -> Spans:
+        """Tokens of segments laid end to end; byte ends count from the first one's begin."""
+        raise NotImplementedError
+
+    def _learn(self, segments: list[str]) -> None:
+        data = [s.encode() for s in segments]
+        spans = self.spans(segments)
+        if not np.array_equal(self.pieces.joined(spans.ids), np.frombuffer(b"".join(data), np.uint8)):
+            if len(segments) == 1:
+                self.known[segments[0]] = None  # not given back byte for byte
+                return
+            half = len(segments) // 2
+            self._learn(segments[:half])
+            self._learn(segments[half:])
+            return
+        ends = refined(spans.coarse, spans.clean, self.pieces.lengths[spans.ids])
+        cuts = np.searchsorted(ends, np.cumsum([len(d) for d in data]), "right") * 8
+        packed = np.stack([spans.ids, np.diff(ends, prepend=0)], 1).astype("<u4").tobytes()
+        self.known.update((s, packed[low:high]) for s, low, high in zip(segments, [0, *cuts.tolist()], cuts.tolist()))
+
+    def encode(self, spaced: list[str]) -> list[Tokens | None]:
+        """Tokens of texts with the space before them; None where their bytes are not the text's."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        parted = [self.segments(text) for text in spaced]
+        new = set().union(*parted).difference(self.known)
+        for some in self.kinds(new):
+            if some:
+                self._learn(some)
+        out: list[Tokens | None] = []
+        for segments in parted:
+            found = list(map(self.known.__getitem__, segments))
+            if None in found:
+                out.append(None)
+                continue
+            both = np.frombuffer(b"".join(found), "<u4").reshape(-1, 2).astype(np.int64)
+            out.append(Tokens(both[:, 0], np.cumsum(both[:, 1])))
+        for segment in new:
+            if len(segment) > REMEMBERED_LENGTH:
+                del self.known[segment]
+        return out
+
+    def kinds(self, new: set[str]) -> tuple[list[str], ...]:
+        raise NotImplementedError
+
+
+class ByteLevel(Segmented):
+    """The byte-level tokenizer: tokens with character offsets. Its segments are the matches that it encodes one by one."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
+        self.segments = regex.compile(public_tokenizers.PATTERN).findall
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
@@ -101,41 +176,62 @@ class ByteLevel:
         others = [b for b in range(256) if b not in set(printable)]
         return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
 
-    def encode(self, spaced: str, data: np.ndarray) -> Tokens | None:
-        """Tokens of a text with the space before it, or None if their bytes are not the text's."""
-        found = self.tokenizer.encode(spaced, add_special_tokens=False)
-        ids = np.array(found.ids, np.int64)
-        if not np.array_equal(self.pieces.joined(ids), data):
-            return None
-        begins, ends = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids)).reshape(-1, 2).T
-        if len(spaced) == len(data):
-            return Tokens(ids, ends)
-        clean = np.r_[begins[1:] >= ends[:-1], True]  # shares no character with the next token
+    def kinds(self, new: set[str]) -> tuple[list[str], ...]:
+        """Matches of a space and something else can be encoded as one text, in which each is a match again."""
+        spaced = [s for s in new if s[0] == " " and not s[1:2].isspace() and len(s) > 1]
+        return spaced, list(new.difference(spaced))
+
+    def spans(self, segments: list[str]) -> Spans:
+        texts = ["".join(segments)] if self.kinds({segments[0]})[0] else segments
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        ids = np.array([k for f in found for k in f.ids], np.int64)
+        offsets = chain.from_iterable(chain.from_iterable(f.offsets for f in found))
+        begins, ends = np.fromiter(offsets, np.int64, 2 * len(ids)).reshape(-1, 2).T
+        lengths = np.array([len(t) for t in texts], np.int64)
+        before = np.repeat(np.cumsum(lengths) - lengths, [len(f) for f in found])  # characters of the texts before
+        begins, ends = begins + before, ends + before
+        clean = np.r_[begins[1:] >= ends[:-1], True][: len(ids)]
+        data = np.frombuffer("".join(segments).encode(), np.uint8)
         at = np.r_[np.flatnonzero((data & 0xC0) != 0x80), len(data)]  # byte where each character begins
-        return Tokens(ids, refined(at[ends], clean, self.pieces.lengths[ids]))
+        return Spans(ids, at[ends], clean)
 
 
-class Pieces:
+class Pieces(Segmented):
     """The piece tokenizer with byte fallback: tokens with byte spans, after a space that it puts in front.
 
-    The library has replaced its immutable proto by an offset mapping with the same spans, which is read here."""
+    If no piece has a space behind something else, as the vocabulary shows, no merge reaches over such a place, and texts are
+    cut into segments there; else each is one segment. The library has replaced its immutable proto by an offset mapping with
+    the same spans, which is read here."""
 
     def __init__(self, path: str):
+        super().__init__()
         import sentencepiece
 
         self.processor = sentencepiece.SentencePieceProcessor(model_file=path)
         n = self.processor.get_piece_size()
         self.fallback = np.array([self.processor.is_byte(k) for k in range(n)])
         names = [self.processor.id_to_piece(k) for k in range(n)]
+        self.separable = not any(SPACE in name.lstrip(SPACE) for name in names)
         self.pieces = Strings([bytes([int(p[3:5], 16)]) if b else p.replace(SPACE, " ").encode() for p, b in zip(names, self.fallback)])
+        self.lead = len(self.processor.encode("x"))
+
+    def segments(self, spaced: str) -> list[str]:
+        return SPACED.findall(spaced) if self.separable else [spaced]
 
-    def encode(self, spaced: str, data: np.ndarray) -> Tokens | None:
-        found = self.processor.encode(spaced[1:], return_type="offset_mapping", return_bytes=True, num_threads=1)
-        ids = np.array(found["ids"], np.int64)
-        if not np.array_equal(self.pieces.joined(ids), data):
-            return None
-        ends = np.fromiter(map(itemgetter(1), found["offsets"]), np.int64, len(ids)) + 1
-        return Tokens(ids, refined(ends, ~self.fallback[ids], self.pieces.lengths[ids]))
+    def kinds(self, new: set[str]) -> tuple[list[str], ...]:
+        """Segments that end in something else than a space can be encoded as one text; of the others one by one."""
+        closed = [s for s in new if self.separable and s[-1] not in (" ", SPACE)]
+        return closed, *([s] for s in new.difference(closed))
+
+    def spans(self, segments: list[str]) -> Spans:
+        text = "".join(segments)
+        # a last space is only seen behind something else
+        skip = self.lead if self.separable and not text.strip(" ") else 0
+        text, cut = ("x" + text, 2) if skip else (text[1:], 0)
+        found = self.processor.encode(text, return_type="offset_mapping", return_bytes=True, num_threads=1)
+        ids = np.array(found["ids"][skip:], np.int64)
+        ends = np.fromiter(map(itemgetter(1), found["offsets"][skip:]), np.int64, len(ids)) + 1 - cut
+        return Spans(ids, ends, ~self.fallback[ids])
 
 
 class Aligned(NamedTuple):
@@ -166,15 +262,6 @@ class Aligner:
         # a token in the digest's text: with the mark before it that a group's first or later token has
         self.marked = Strings([mark + str(k).encode() for mark in (b";", b",", b"|") for k in range(self.n)])
 
-    def tokens(self, text: str) -> tuple[Tokens, Tokens] | None:
-        if not text:
-            return None
-        spaced = " " + text
-        data = np.frombuffer(spaced.encode(), np.uint8)
-        a = self.a.encode(spaced, data)
-        b = None if a is None else self.b.encode(spaced, data)
-        return None if b is None else (a, b)
-
     def groups(self, a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray, int]:
         """The group of each token, and the number of groups."""
         cuts = np.intersect1d(a.ends, b.ends, assume_unique=True)
@@ -215,13 +302,30 @@ class Aligner:
         return parts[0] if len(parts) == 1 else _added(parts)
 
     def __call__(self, text: str) -> Aligned:
-        found = self.tokens(text)
-        if found is None:
-            return NOTHING
-        a, b = found
-        of_a, of_b, n = self.groups(a, b)
-        digest = hashlib.sha256(self.text_of(a, b, of_a, of_b, n)).hexdigest()
-        return Aligned(len(a.ids), len(b.ids), n, digest, *self.linked(a, b, of_a, of_b, n))
+        return next(self.each([text]))
+
+    def each(self, texts: Iterable[str]) -> Iterator[Aligned]:
+        """Alignments of texts, which are encoded ``RUN`` code points and more at once."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= RUN:
+                yield from self._all(held)
+                held, size = [], 0
+        yield from self._all(held)
+
+    def _all(self, texts: list[str]) -> Iterator[Aligned]:
+        spaced = [" " + text for text in texts if text]
+        found = zip(self.a.encode(spaced), self.b.encode(spaced))
+        for text in texts:
+            a, b = next(found) if text else (None, None)
+            if a is None or b is None:
+                yield NOTHING
+                continue
+            of_a, of_b, n = self.groups(a, b)
+            digest = hashlib.sha256(self.text_of(a, b, of_a, of_b, n)).hexdigest()
+            yield Aligned(len(a.ids), len(b.ids), n, digest, *self.linked(a, b, of_a, of_b, n))
 
 
 @functools.lru_cache(maxsize=2)
@@ -279,8 +383,9 @@ def aligned_blocks(docs: DataFrame, a: str, b: str) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         block = _Block()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), as_texts(batch.column(1))):
-                block.add(doc_id, align(text), len(text.encode()) + 256)
+            texts = as_texts(batch.column(1))
+            for doc_id, text, found in zip(batch.column(0).to_pylist(), texts, align.each(texts)):
+                block.add(doc_id, found, len(text.encode()) + 256)
                 if block.bytes >= BLOCK_BYTES:
                     yield block.row(number)
                     number, block = number + 1, _Block()
@@ -345,7 +450,7 @@ def links(docs: DataFrame, a: str, b: str) -> DataFrame:
     """(doc_id, a, b, links): the linked id pairs of every document."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        found = [aligner(a, b)(text) for text in as_texts(batch.column(1))]
+        found = list(aligner(a, b).each(as_texts(batch.column(1))))
         sizes = [len(f.pairs) for f in found]
         pairs = np.concatenate([f.pairs for f in found])
         arrays = [batch.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes))), pa.array((pairs >> 32).astype(np.int32)), pa.array((pairs & 0xFFFFFFFF).astype(np.int32)), pa.array(np.concatenate([f.links for f in found]))]
