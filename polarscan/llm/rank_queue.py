@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import as_texts, table, texts
 
 RUN = 1 << 20  # code points that are split and encoded at once
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 REMEMBERED_LENGTH = 64  # longer pre-tokens are not remembered
 BATCH_BYTES = 8 << 20
 
@@ -64,6 +64,8 @@ class RankCoder:
         self.pieces: list[bytes | None] = [None] * n
         for piece, rank in ranks.items():
             self.pieces[rank] = piece
+        self.has_piece = np.array([piece is not None for piece in self.pieces])
+        self.decimals = [str(k) for k in range(n)]
         self.known: dict[str, bytes] = {}
         # The queue: positions by rank, and the bitmap over them. All of it is empty between two calls.
         self.shift = max(1, ((n - 1).bit_length() + 1) // 2)
@@ -218,11 +220,10 @@ class RankCoder:
         return next(self.encode_all([text]))
 
     def decode(self, ids: np.ndarray) -> bytes:
-        pieces = self.pieces
-        found = [pieces[k] if 0 <= k < len(pieces) else None for k in ids.tolist()]
-        if None in found:
-            raise ValueError(f"unknown id {ids[found.index(None)]}")
-        return b"".join(found)
+        strange = (ids < 0) | (ids >= len(self.has_piece)) | ~self.has_piece[np.clip(ids, 0, len(self.has_piece) - 1)]
+        if strange.any():
+            raise ValueError(f"unknown id {ids[strange][0]}")
+        return b"".join(map(self.pieces.__getitem__, ids.tolist()))
 
 
 @functools.lru_cache(maxsize=4)
@@ -281,11 +282,11 @@ def digests(rows: DataFrame, path: str, split: str) -> DataFrame:
     kinds = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = coder(path, split).decode
+        decode, decimal = coder(path, split).decode, coder(path, split).decimals.__getitem__
 
         def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
             for doc_id, ids in zip(batch.column(0).to_pylist(), _ids(batch.column(1))):
-                decimals = " ".join(map(str, ids.tolist())).encode()
+                decimals = " ".join(map(decimal, ids.tolist())).encode()
                 yield doc_id, len(ids), hashlib.sha256(decimals).hexdigest(), hashlib.sha256(decode(ids)).hexdigest()
 
         yield from _rows((row for b in batches for row in rows_of(b)), kinds, lambda row: 200)
