@@ -30,6 +30,14 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """The name, lengthened until the frame has no such column."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def label_rows(labels: DataFrame, column: str, folds: int, held_out: int) -> DataFrame:
     """(doc_id, y) of the training folds. Ids labelled both ways, null ids and null labels are left out."""
     return (

@@ -197,22 +197,23 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     for changed texts. All rows and columns stay; endpoints and identifiers stay readable. The links are a written table, so
     that Spark broadcasts it only below the broadcast threshold."""
     added = staged(linked(staged(scan(docs).where("size(parts) > 0"), "secret-parts")), "secret-links")
-    keyed = docs.withColumn("digest", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    # the documents' own columns travel in one, so that their names meet no others
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    keyed = docs.select(own, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("digest"))
     names, at_text = docs.columns, docs.columns.index("text")
     at_count = names.index("n_chars") if "n_chars" in names else None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at = {name: i for i, name in enumerate(batch.schema.names)}
-        old = batch.column(at["text"]).to_pylist()
-        new = [None if t is None else blot(t, more or [], mark) for t, more in zip(old, batch.column(at["added"]).to_pylist())]
-        arrays = [batch.column(at[c]) for c in names]
+        arrays = batch.column(0).flatten()
+        old = arrays[at_text].to_pylist()
+        new = [None if t is None else blot(t, more or [], mark) for t, more in zip(old, batch.column(1).to_pylist())]
         arrays[at_text] = pa.array(new, pa.string())
         if at_count is not None:
             counts = arrays[at_count]
             arrays[at_count] = pa.array([k if a == b else len(b) for a, b, k in zip(old, new, counts.to_pylist())], counts.type)
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return map_batches(_joined(keyed, added), run, docs.schema)
+    return map_batches(_joined(keyed, added).select("own", "added"), run, docs.schema)
 
 
 def blot(text: str, added: list[dict], mark: str) -> str:
