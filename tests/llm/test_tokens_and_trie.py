@@ -243,3 +243,17 @@ def test_trie_of_nothing(spark):
     alone = prefix_trie.trie(spark.createDataFrame([(2, 0, "user", "x")], schema)).collect()
     h = zlib.crc32(b"2") % 4
     assert len(alone) == (2 if h == 0 else 1) and alone[0].ends_sha256 in (SHA_EMPTY, hashlib.sha256(b"2").hexdigest())
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    from polarscan.llm import secrets, simhash
+
+    text = 'password = "abcdefgh1234" and more words'
+    rows = [(1, text, "d", "a", 5, "q", 1, "r"), (2, text, "d2", "a2", 6, "q2", 2, "r2"), (None, None, None, None, None, None, None, None)]
+    names = "doc_id long, text string, digest string, added string, a_doc_id long, a_digest string, row_number long, own string"
+    frame = spark.createDataFrame(rows, names)
+    redacted = sorted(map(tuple, secrets.redact(frame).collect()), key=repr)
+    assert redacted == sorted([(r[0], r[1] and r[1].replace("abcdefgh1234", "[SECRET]"), *r[2:]) for r in rows], key=repr)
+    kept = simhash.keep_first(frame)
+    assert kept.columns == frame.columns and sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], rows[2]], key=repr)
+    assert secrets.redact(frame.limit(0)).count() == 0 and simhash.keep_first(frame.limit(0)).count() == 0
