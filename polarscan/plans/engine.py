@@ -83,15 +83,15 @@ class Engine:
 
     def pause(self) -> dict:
         if not self.running():
-            return {"success": True, "status": "already paused"}
+            return {"success": True, "status": "not ingesting"}
         self.query.stop()
         self.query.awaitTermination()
         self.query = None
-        return {"success": True, "status": "paused", "message": "All threads stopped successfully"}
+        return {"success": True, "status": "paused", "message": "The ingest stream has ended."}
 
     def resume(self) -> dict:
         if self.running():
-            return {"error": "Fetcher already running"}
+            return {"error": "The ingest stream runs already."}
         self.query = self._start(available_now=False)
         return {"success": True, "status": "resumed"}
 

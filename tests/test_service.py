@@ -160,7 +160,7 @@ def test_service_ingests_two_drops_and_restarts(spark, tmp_path):
     assert stats.dashboard(again.station_stats()).count() == 2 and metrics["frame_count"] == 12
     left = [p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir() if p.name.startswith("fetched-")]
     assert left == [], "tables of a finished batch are dropped"
-    assert again.status()["fetcher_running"] is False and again.pause()["status"] == "already paused"
+    assert again.status()["fetcher_running"] is False and again.pause()["status"] == "not ingesting"
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
