@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 from ..sources import fs
 
+PIECE = 256  # whole rows that a filtering stage unpacks at once
 SPACE = b" \t\n\x0b\x0c\r"  # the six characters that separate words everywhere in this subpackage
 
 
@@ -88,12 +89,17 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def map_batches(frame: DataFrame, apply: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_batches(
+    frame: DataFrame, apply: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int | None = None
+) -> DataFrame:
+    """``apply`` over batches, cut into pieces of at most ``rows`` rows where given, so that a worker unpacks and returns little at once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = apply(batch)
-            if out is not None:
-                yield out
+            for at in range(0, max(batch.num_rows, 1), rows or max(batch.num_rows, 1)):
+                out = apply(batch.slice(at, rows) if rows else batch)
+                if out is not None:
+                    yield out
 
     return frame.mapInArrow(run, schema)
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, bounded_training, fold, label_rows, map_batches, table, texts
+from .common import PIECE, as_bytes, bounded_training, fold, label_rows, map_batches, table, texts
 
 TRAIN_ROWS = 4000
 TRAIN_LINES = 400
@@ -222,7 +222,7 @@ def keep_good(docs: DataFrame, chain: Chain) -> DataFrame:
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array(_scores(chain, batch.column(batch.schema.get_field_index("text"))) >= THRESHOLD))
 
-    return map_batches(docs, keep, docs.schema)
+    return map_batches(docs, keep, docs.schema, PIECE)
 
 
 def op4_quality_crf(spark, sf_dir: str) -> DataFrame:

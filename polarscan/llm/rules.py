@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, as_bytes, map_batches, texts
+from .common import PIECE, SPACE, as_bytes, map_batches, texts
 
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
@@ -147,7 +147,7 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
         data = as_bytes(batch.column(batch.schema.get_field_index("text")))
         return batch.filter(pa.array([rejected_by(order, Measures(x)) is None for x in data], pa.bool_()))
 
-    return map_batches(docs, keep, docs.schema)
+    return map_batches(docs, keep, docs.schema, PIECE)
 
 
 MEASURED = (

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_texts, map_batches, staged, table, texts
+from .common import PIECE, as_texts, map_batches, staged, table, texts
 
 # The patterns of the base kinds, and those of the parts.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -213,7 +213,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             arrays[at_count] = pa.array([k if a == b else len(b) for a, b, k in zip(old, new, counts.to_pylist())], counts.type)
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return map_batches(_joined(keyed, added).select("own", "added"), run, docs.schema)
+    return map_batches(_joined(keyed, added).select("own", "added"), run, docs.schema, PIECE)
 
 
 def blot(text: str, added: list[dict], mark: str) -> str:
