@@ -1,22 +1,21 @@
 """Binary volumes written by Spark from the events table, so that decode queries work on data that grows with it.
 
 A volume is one user's events within a block of 65536 event ids, so a busy user spreads over many volumes, each well
-below the message limit of framing. Everything
-but the bzip2 compression is Spark expressions on hex text.
+below the message limit of framing. Spark partitions and orders the events; a task fills the messages of many volumes at
+once as an array of fixed-size records and compresses them.
 """
 
 from __future__ import annotations
 
 import bz2
 import struct
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import timekeys as t
 from ..session import scratch_path
@@ -24,6 +23,8 @@ from . import mapping as m
 
 BLOCK_IDS = 65536
 RECORD_RADIALS = 8
+EVENTS_PER_TASK = 1 << 17
+MESSAGES_AT_ONCE = 4096
 GATES, STRIDE = 400, 50
 VEL_GATES = 20
 FIRST_GATE, SPACING = 2125, 250
@@ -34,117 +35,121 @@ CUT_64THS = [32, 57, 83, 115, 154]
 CUT_IDS = 512
 
 
-def cut_of(event_id: Column) -> Column:
-    return (F.floor(event_id / CUT_IDS) % len(CUT_64THS)).cast("int")
+def _moment(prefix: str, gates: tuple) -> list[tuple]:
+    fields = [("name", "S4"), ("_", "V4"), ("gates", ">u2"), ("first", ">u2"), ("spacing", ">u2"), ("_2", "V4"), ("word", ">u2"), ("scale", ">f4"), ("offset", ">f4")]
+    return [(prefix + f, kind) for f, kind in fields] + [(f"{prefix}data", *gates)]
 
 
-def elevation_64ths(event_id: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in CUT_64THS]), cut_of(event_id) + 1)
+# One type-31 message: header, volume, radial and reflectivity block, room for a 16-bit velocity block.
+RADIAL = np.dtype(
+    [("halves", ">u2"), ("channel", "u1"), ("type", "u1"), ("sequence", ">u2"), ("julian", ">u2"), ("ms", ">u4"), ("segments", ">u2"), ("segment", ">u2")]
+    + [("site", "S4"), ("at", ">u4"), ("day", ">u2"), ("number", ">u2"), ("azimuth", ">f4"), ("_a", "V2"), ("size", ">u2"), ("spacing", "u1"), ("status", "u1")]
+    + [("elev_num", "u1"), ("_b", "u1"), ("elevation", ">f4"), ("_c", "V2"), ("blocks", ">u2"), ("pointers", ">u4", 10)]
+    + [("vol", "S4"), ("vol_size", ">u2"), ("version", ">u2"), ("lat", ">f4"), ("lon", ">f4"), ("height", ">u2"), ("feed", ">u2"), ("_d", "V12")]
+    + [("diff_refl", ">f4"), ("diff_phase", ">f4"), ("vcp", ">u2"), ("_e", "V2")]
+    + [("rad", "S4"), ("rad_size", ">u2"), ("range", ">u2"), ("_f", "V8"), ("nyquist", ">u2"), ("_g", "V2")]
+    + _moment("ref_", ("u1", GATES))
+    + _moment("vel_", (">u2", VEL_GATES))
+)
+MESSAGE_HEADER = 16
 
 
-def _hex(x: Column | int, n: int) -> Column:
-    return F.lpad(F.hex((x if isinstance(x, Column) else F.lit(x)).cast("bigint")), 2 * n, "0")
-
-
-def _float_hex(k: Column, shift: int) -> Column:
-    """Float32 bits of the whole number ``k`` (0..2^23) divided by 2^shift."""
-    k = k.cast("bigint")
-    power = F.length(F.bin(k)) - 1
-    scale = F.element_at(F.array(*[F.lit(1 << s) for s in range(23, -1, -1)]), power + 1)
-    one = F.element_at(F.array(*[F.lit(1 << s) for s in range(24)]), power + 1)
-    bits = (power + (127 - shift)).cast("bigint") * (1 << 23) + (k - one) * scale
-    return _hex(F.when(k == 0, F.lit(0)).otherwise(bits), 4)
-
-
-def _text(s: str) -> Column:
-    return F.lit(s.encode().hex())
-
-
-def ref_raw(event_id: Column, gate: Column) -> Column:
+def ref_raw(event_id, gate):
     """Raw reflectivity of the gates that carry data."""
     return (event_id * 7 + gate * 13) % 256
 
 
-def vel_raw(event_id: Column, gate: Column) -> Column:
+def vel_raw(event_id, gate):
     return (event_id * 31 + gate * 101) % 1000
 
 
-def radial_hex(e: Column, k: Column) -> Column:
-    """One type-31 message: volume, radial, reflectivity block; every second one also a 16-bit velocity block."""
-    float1 = struct.pack(">f", 2.0).hex()
-    vol = F.concat(
-        _text("RVOL"), _hex(44, 2), F.lit("0100"), _float_hex(F.lit(71), 1), _float_hex(F.lit(195), 1), _hex(370, 2), _hex(k, 2),
-        F.lit("00" * 12), _float_hex(k, 3), _float_hex(F.lit(60), 0), _hex(200 + k, 2), F.lit("0000"),
-    )
-    rad = F.concat(_text("RRAD"), _hex(20, 2), _hex((k % 3) * k, 2), F.lit("00" * 8), _hex((k % 4) * 100, 2), F.lit("0000"))
-    first = (e % STRIDE).cast("int")
-    runs = []
-    for j in range(GATES // STRIDE):
-        runs += [_hex(ref_raw(e, first + j * STRIDE), 1), F.lit("00" * (STRIDE - 1))]
-    gates = F.substring(F.concat(F.repeat(F.lit("00"), first), *runs), 1, 2 * GATES)
-
-    def moment(name: str, n: int, word: int, offset: float, data: Column) -> Column:
-        head = _hex(n, 2), _hex(FIRST_GATE, 2), _hex(SPACING, 2), F.lit("00000000"), _hex(word, 2)
-        return F.concat(_text("D" + name), F.lit("00" * 4), *head, F.lit(float1), F.lit(struct.pack(">f", offset).hex()), data)
-
-    ref = moment("REF", GATES, 8, 66.0, gates)
-    vel = moment("VEL", VEL_GATES, 16, 129.0, F.concat(*[_hex(vel_raw(e, F.lit(g)), 2) for g in range(VEL_GATES)]))
-    odd = e % 2 == 1
-    at = [72, 72 + 44, 72 + 44 + 20, 72 + 44 + 20 + 28 + GATES]
-    size = at[3] + 28 + 2 * VEL_GATES
-    pointers = F.concat(*[_hex(p, 4) for p in at[:3]], F.when(odd, _hex(at[3], 4)).otherwise(_hex(0, 4)), F.lit("00" * 24))
-    status = F.when(e % 29 == 0, F.lit(0)).otherwise(F.lit(1))
-    body = F.concat(
-        _text("KTLX"), _hex(MS, 4), _hex(JULIAN, 2), _hex(1, 2), _float_hex((e * 37) % 2880, 3), F.lit("0000"), _hex(size, 2), F.lit("01"),
-        _hex(status, 1), _hex(cut_of(e) + 1, 1), F.lit("00"), _float_hex(elevation_64ths(e), 6), F.lit("0000"), _hex(4, 2), pointers,
-        vol, rad, ref, F.when(odd, vel).otherwise(F.lit("00" * (28 + 2 * VEL_GATES))),
-    )
-    header = F.concat(_hex((16 + size) // 2, 2), F.lit("001f"), _hex(e % 65536, 2), _hex(JULIAN, 2), _hex(MS, 4), _hex(1, 2), _hex(1, 2))
-    return F.concat(header, body)
-
-
-@F.pandas_udf(T.BinaryType())
-def bzip2(data: pd.Series) -> pd.Series:
-    return data.map(lambda x: bz2.compress(x, 1))
+def radials_of(e: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """One message per event; every second one also has velocities."""
+    out = np.zeros(len(e), RADIAL)
+    size = RADIAL.itemsize - MESSAGE_HEADER
+    cut = e // CUT_IDS % len(CUT_64THS)
+    at = [RADIAL.fields[x][1] - MESSAGE_HEADER for x in ("vol", "rad", "ref_name", "vel_name")]
+    odd = np.flatnonzero(e % 2 == 1)
+    same = {
+        "halves": RADIAL.itemsize // 2, "type": 31, "julian": JULIAN, "ms": MS, "segments": 1, "segment": 1, "site": b"KTLX", "at": MS, "day": JULIAN,
+        "number": 1, "size": size, "spacing": 1, "blocks": 4, "vol": b"RVOL", "vol_size": 44, "version": 0x0100, "lat": 35.5, "lon": 97.5, "diff_phase": 60.0,
+        "rad": b"RRAD", "rad_size": 20, "ref_name": b"DREF", "ref_gates": GATES, "ref_first": FIRST_GATE, "ref_spacing": SPACING, "ref_word": 8,
+        "ref_scale": 2.0, "ref_offset": 66.0,
+    }
+    own = {
+        "sequence": e % 65536, "azimuth": e * 37 % 2880 / 8, "status": e % 29 != 0, "elev_num": cut + 1, "elevation": np.array(CUT_64THS)[cut] / 64,
+        "height": 370, "feed": k, "diff_refl": k / 8, "vcp": 200 + k, "range": k % 3 * k, "nyquist": k % 4 * 100,
+    }
+    for name, value in {**same, **own}.items():
+        out[name] = value
+    out["pointers"][:, :3] = at[:3]
+    out["pointers"][odd, 3] = at[3]
+    gate = (e % STRIDE)[:, None] + np.arange(0, GATES, STRIDE)
+    out["ref_data"][np.arange(len(e))[:, None], gate] = ref_raw(e[:, None], gate)
+    velocity = {"name": b"DVEL", "gates": VEL_GATES, "first": FIRST_GATE, "spacing": SPACING, "word": 16, "scale": 2.0, "offset": 129.0}
+    for name, value in {**velocity, "data": vel_raw(e[odd, None], np.arange(VEL_GATES))}.items():
+        out[f"vel_{name}"][odd] = value
+    return out
 
 
-def volume_key(user: Column, e: Column) -> Column:
-    return F.concat_ws("-", user.cast("string"), F.floor(e / BLOCK_IDS).cast("string"))
+VOLUME_KEY_SQL = f"user_id || '-' || (event_id // {BLOCK_IDS})"
 
 
-VOLUME_KEY_SQL = f"user_id || '-' || (event_id // {BLOCK_IDS})"
+def header_of(user: int) -> bytes:
+    return b"AR2V0006.001" + struct.pack(">II", JULIAN, (MS + user * 1000) % 2**32) + b"K%03d" % (user % 1000)
 
 
-def header_hex(user: Column) -> Column:
-    name = F.hex(F.concat(F.lit("K"), F.lpad((user % 1000).cast("string"), 3, "0")).cast("binary"))
-    return F.concat(_text("AR2V0006.001"), _hex(JULIAN, 4), _hex(MS + user * 1000, 4), name)
+def content_of(user: int, messages: np.ndarray) -> bytes:
+    """Sized bzip2 records, one plain bzip2 stream, or header plus stream, by user."""
+    head = header_of(user)
+    if user % 3 == 0:
+        parts = [bz2.compress(messages[at : at + RECORD_RADIALS].tobytes(), 1) for at in range(0, len(messages), RECORD_RADIALS)]
+        return head + b"".join(struct.pack(">I", len(z)) + z for z in parts)
+    whole = bz2.compress(head + messages.tobytes(), 1)
+    return head + whole if user % 3 == 2 else whole
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (user_id, block, event_id, k) arrive in that order; only the volume that is still open is held, at most ``BLOCK_IDS`` rows."""
+
+    def written(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        user, block, e, k = rows
+        starts = np.flatnonzero(np.r_[True, (user[1:] != user[:-1]) | (block[1:] != block[:-1])])
+        ends = np.r_[starts[1:], len(user)]
+        first = 0
+        while first < len(starts):  # whole volumes of some thousand messages at a time, at least one
+            last = max(first + 1, int(np.searchsorted(ends, starts[first] + MESSAGES_AT_ONCE, "right")))
+            low = starts[first]
+            messages = radials_of(e[low : ends[last - 1]], k[low : ends[last - 1]])
+            content = [content_of(int(user[a]), messages[a - low : b - low]) for a, b in zip(starts[first:last], ends[first:last])]
+            names = [f"{user[a]}-{block[a]}" for a in starts[first:last]]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(content, pa.binary())], names=["volume_id", "content"])
+            first = last
+
+    held = np.zeros((4, 0), np.int64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+        open_at = int(np.flatnonzero((held[0] != held[0, -1]) | (held[1] != held[1, -1])).max(initial=-1)) + 1
+        if open_at:
+            yield from written(held[:, :open_at])
+            held = held[:, open_at:]
+    if held.shape[1]:
+        yield from written(held)
 
 
 def build_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sized bzip2 records, one plain bzip2 stream, or header plus stream, by user."""
+    """One exchange of narrow rows by volume; its parts are counted by rows, as each row becomes a message of 648 bytes."""
     events = m.table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
-    rows = events.select("user_id", "event_id", volume_key(F.col("user_id"), F.col("event_id")).alias("volume_id"), k.alias("k"))
-    order = F.row_number().over(W.partitionBy("volume_id").orderBy("event_id")) - 1
-    radial = rows.withColumn("record", F.floor(order / RECORD_RADIALS).cast("int")).select(
-        "volume_id", "user_id", "record", "event_id", radial_hex(F.col("event_id"), F.col("k")).alias("x")
-    )
-
-    def joined(key: str) -> Column:
-        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, "x"))), lambda s: s["x"]), "")
-
-    # At most 65536 radials per volume and eight per record, by the volume key.
-    records = radial.groupBy("volume_id", "user_id", "record").agg(joined("event_id").alias("x"))
-    form = F.col("user_id") % 3
-    sized = records.where(form == 0).withColumn("z", bzip2(F.unhex("x")))
-    sized = sized.withColumn("x", F.concat(_hex(F.octet_length("z"), 4), F.hex("z"))).drop("z")
-    ldm = sized.groupBy("volume_id", "user_id").agg(joined("record").alias("x"))
-    ldm = ldm.select("volume_id", "user_id", F.unhex(F.concat(header_hex(F.col("user_id")), "x")).alias("content"))
-    whole = records.where(form > 0).groupBy("volume_id", "user_id").agg(joined("record").alias("x"))
-    whole = whole.withColumn("z", bzip2(F.unhex(F.concat(header_hex(F.col("user_id")), "x"))))
-    prefix = F.when(form == 2, F.unhex(header_hex(F.col("user_id")))).otherwise(F.lit(b""))
-    whole = whole.select("volume_id", "user_id", F.concat(prefix, "z").alias("content"))
-    return ldm.unionByName(whole).select(
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    block = F.floor(F.col("event_id") / BLOCK_IDS).cast("bigint")
+    rows = events.select(F.col("user_id").cast("bigint"), block.alias("block"), F.col("event_id").cast("bigint"), k.alias("k"))
+    rows = rows.dropna()  # a message has all three
+    parts = max(spark.sparkContext.defaultParallelism, -(-events.count() // EVENTS_PER_TASK))
+    ordered = rows.repartition(parts, "user_id", "block").sortWithinPartitions("user_id", "block", "event_id")
+    made = ordered.mapInArrow(_contents, "volume_id string, content binary")
+    return made.select(
         "volume_id",
         F.concat(F.lit("events/"), "volume_id").alias("path"),
         F.lit("HINT").alias("station"),
@@ -161,9 +166,8 @@ def volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         path = scratch_path(spark, "volumes")
-        # One file per task slot: unpacking is far more work than its few bytes suggest.
-        files = spark.sparkContext.defaultParallelism
-        build_volumes(spark, sf_dir).repartition(files, "volume_id").write.parquet(path)
+        # One file per task at least: unpacking is far more work than its few bytes suggest.
+        build_volumes(spark, sf_dir).write.parquet(path)
         _written[key] = path
     return spark.read.parquet(_written[key])
 
