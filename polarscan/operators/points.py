@@ -13,8 +13,8 @@ from ..functions import geometry as g
 NO_DATA_AT_OR_BELOW = -100.0
 
 
-def to_points3d(bins: DataFrame, sweeps: DataFrame, frames: DataFrame) -> DataFrame:
-    """(x, y, z, value) per bin, in metres from the radar. Points keep their bin's order columns."""
+def positions(bins: DataFrame, sweeps: DataFrame, frames: DataFrame) -> DataFrame:
+    """(x, y, z, value) per bin, in metres from the radar and in double precision. Points keep their bin's order columns."""
     site = frames.select("volume_id", "product", "height_asl")
     cut = sweeps.select("volume_id", "sweep_id", "elevation_deg")
     joined = bins.where(F.col("value") > NO_DATA_AT_OR_BELOW).join(cut, ["volume_id", "sweep_id"]).join(site, ["volume_id", "product"])
@@ -25,13 +25,18 @@ def to_points3d(bins: DataFrame, sweeps: DataFrame, frames: DataFrame) -> DataFr
         "sweep_id",
         "msg_seq",
         "gate",
-        g.beam_x(r, az, el, h).cast("float").alias("x"),
-        g.beam_y(r, az, el, h).cast("float").alias("y"),
-        g.beam_z(r, el, h).cast("float").alias("z"),
+        g.beam_x(r, az, el, h).alias("x"),
+        g.beam_y(r, az, el, h).alias("y"),
+        g.beam_z(r, el, h).alias("z"),
         "value",
     )
 
 
+def to_points3d(bins: DataFrame, sweeps: DataFrame, frames: DataFrame) -> DataFrame:
+    """``positions`` in single precision, the form in which points are encoded."""
+    return positions(bins, sweeps, frames).withColumns({c: F.col(c).cast("float") for c in "xyz"})
+
+
 @F.pandas_udf(T.BinaryType())
 def _pack_halves(x: pd.Series, y: pd.Series, z: pd.Series, value: pd.Series) -> pd.Series:
     four = pd.DataFrame({"x": x, "y": y, "z": z, "v": value}).to_numpy("f4")
