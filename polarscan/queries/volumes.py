@@ -6,6 +6,7 @@ import bz2
 import struct
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -323,21 +324,24 @@ def container_round_trip(spark, sf):
     return docs.select("doc_id", F.lower(F.hex(plain)).alias("plain"))
 
 
-@F.pandas_udf(T.BinaryType())
-def _gzip_cut(doc_id: pd.Series, data: pd.Series) -> pd.Series:
-    return pd.Series([containers.gzip_best(x)[: -3 if i % 4 == 0 else None] for i, x in zip(doc_id, data)])
+GZIP_ROWS = 64  # texts that are packed before what came of them leaves
 
 
-@F.pandas_udf(T.BinaryType())
-def _gunzip(data: pd.Series) -> pd.Series:
-    return data.map(containers.gunzip)
+def _gzip_round(batches):
+    for batch in (b.slice(at, GZIP_ROWS) for b in batches for at in range(0, b.num_rows, GZIP_ROWS)):
+        plain = []
+        for i, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+            packed = containers.gzip_best(x.as_py())
+            plain.append(containers.gunzip(packed[:-3] if i is not None and i % 4 == 0 else packed))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(plain, pa.binary())], names=["doc_id", "plain"])
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN md5('') ELSE md5(text) END AS digest FROM documents")
 def gzip_round_trip(spark, sf):
     """Gzip and back; a cut file gives nothing."""
     docs = m.table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("data"))
-    return docs.select("doc_id", F.md5(_gunzip(_gzip_cut(F.col("doc_id"), F.col("data")))).alias("digest"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(_gzip_round, f"doc_id {kind}, plain binary").select("doc_id", F.md5("plain").alias("digest"))
 
 
 @query("SELECT doc_id, CAST(octet_length(encode(text)) // 7 AS INTEGER) AS n_triplets, CASE WHEN octet_length(encode(text)) > 4 THEN CAST(('0x' || substr(hex(encode(text)), 9, 2)) AS INTEGER) END AS example_value FROM documents")
