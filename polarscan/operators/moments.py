@@ -66,13 +66,15 @@ _IN = ["volume_id", "product", "sweep_id", "msg_seq", "azimuth", "moment_code",
 _OUT = ["volume_id", "product", "sweep_id", "msg_seq", "gate", "azimuth", "range_m", "value"]
 
 
-def explode_bins(moments: DataFrame) -> DataFrame:
-    """One row per gate with data. Gates never pass through Python objects one by one, and a batch that leaves holds the
-    bins of at most ``RADIALS_AT_ONCE`` radials, whatever the size of those that arrive."""
+def explode_bins(moments: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """One row per gate with data, with the ``carried`` columns of its radial. Gates never pass through Python objects one by
+    one, and a batch that leaves holds the bins of at most ``RADIALS_AT_ONCE`` radials, whatever the size of those that arrive."""
+    same = ("volume_id", "product", "sweep_id", "msg_seq", "azimuth", *carried)
+    names = [*_OUT, *carried]
 
     def run(batches):
         for batch in (b.slice(at, RADIALS_AT_ONCE) for b in batches for at in range(0, b.num_rows, RADIALS_AT_ONCE)):
-            cols = batch.to_pydict()
+            cols = batch.select(_IN).to_pydict()
             counts, gate, range_m, value = [], [], [], []
             for i in range(batch.num_rows):
                 raw = decode_gates(cols["gates"][i], cols["num_gates"][i], cols["word_size"][i])
@@ -86,8 +88,9 @@ def explode_bins(moments: DataFrame) -> DataFrame:
             if not sum(counts):
                 continue
             rows = pa.array(np.repeat(np.arange(batch.num_rows), counts))
-            out = {n: batch.column(n).take(rows) for n in ("volume_id", "product", "sweep_id", "msg_seq", "azimuth")}
+            out = {n: batch.column(n).take(rows) for n in same}
             out["gate"], out["range_m"], out["value"] = map(np.concatenate, (gate, range_m, value))
-            yield pa.RecordBatch.from_arrays([pa.array(out[n]) for n in _OUT], names=_OUT)
+            yield pa.RecordBatch.from_arrays([pa.array(out[n]) for n in names], names=names)
 
-    return moments.select(*_IN).mapInArrow(run, schemas.BINS)
+    kinds = dict(moments.dtypes)
+    return moments.select(*_IN, *carried).mapInArrow(run, ", ".join([schemas.BINS, *(f"{c} {kinds[c]}" for c in carried)]))

@@ -36,6 +36,10 @@ class Decoded:
     def cuts(self, profile: raster.RasterProfile = raster.INGEST) -> DataFrame:
         return raster.cuts(self.sweeps, self.tilts(profile), profile)
 
+    def cut_bins(self, profile: raster.RasterProfile = raster.INGEST) -> DataFrame:
+        """One row per gate with data and tilt that it feeds."""
+        return raster.cut_bins(self.moments, self.cuts(profile))
+
     def tilt_packs(self, profile: raster.RasterProfile = raster.INGEST, slabs: bool = True) -> DataFrame:
         return raster.pack_tilts(self.moments, self.cuts(profile), profile, slabs=slabs)
 

@@ -197,13 +197,13 @@ def packed_volumes(spark, sf):
 def decoded_cells_2d(spark, sf):
     """The same 2-D grids from bin rows, by joins and a maximum per cell."""
     dec = _decoded(spark, sf)
-    return raster.cells_2d(dec.bins(), dec.cuts()).select("volume_id", "product", "tilt_idx", "num_rays", "ray", "gate", "q")
+    return raster.cells_2d(dec.cut_bins()).select("volume_id", "product", "tilt_idx", "num_rays", "ray", "gate", "q")
 
 
 @query(_cells_sql(True))
 def decoded_cells_3d(spark, sf):
     dec = _decoded(spark, sf)
-    return raster.cells_3d(dec.bins(), dec.cuts()).select("volume_id", "product", "tilt_idx", "ray", "gate", "q")
+    return raster.cells_3d(dec.cut_bins()).select("volume_id", "product", "tilt_idx", "ray", "gate", "q")
 
 
 _FILES = f"""WITH {RAW}, {_TILTS}, pt AS (SELECT volume_id, p.product FROM (SELECT DISTINCT volume_id FROM seg) v, (VALUES ('reflectivity'), ('velocity')) p(product)
