@@ -91,7 +91,7 @@ class Segmented:
     """Encodes texts segment by segment, between places that no token can reach over.
 
     What the tokens of a segment are and where they end is worked out once per distinct segment and worker, many segments in
-    one call. The table holds about ``REMEMBERED`` segments and is emptied when full, which costs time and changes nothing."""
+    one call. The table holds about ``REMEMBERED`` segments; when full it keeps those of the texts at hand, which costs time and changes nothing."""
 
     pieces: Strings
 
@@ -123,20 +123,22 @@ class Segmented:
 
     def encode(self, spaced: list[str]) -> list[Tokens | None]:
         """Tokens of texts with the space before them; None where their bytes are not the text's."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         parted = [self.segments(text) for text in spaced]
-        new = set().union(*parted).difference(self.known)
+        now = set().union(*parted)
+        if len(self.known) > REMEMBERED:  # what these texts have is likely to come again
+            self.known = {s: self.known[s] for s in now.intersection(self.known)}
+        new = now.difference(self.known)
         for some in self.kinds(new):
             if some:
                 self._learn(some)
         out: list[Tokens | None] = []
         for segments in parted:
-            found = list(map(self.known.__getitem__, segments))
-            if None in found:
+            try:
+                found = b"".join(map(self.known.__getitem__, segments))
+            except TypeError:  # one of them is None
                 out.append(None)
                 continue
-            both = np.frombuffer(b"".join(found), "<u4").reshape(-1, 2).astype(np.int64)
+            both = np.frombuffer(found, "<u4").reshape(-1, 2).astype(np.int64)
             out.append(Tokens(both[:, 0], np.cumsum(both[:, 1])))
         for segment in new:
             if len(segment) > REMEMBERED_LENGTH:
@@ -255,6 +257,13 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return pairs[first], np.add.reduceat(links, first)
 
 
+def _counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs and how often each stands there."""
+    pairs = np.sort(pairs)
+    first = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+    return pairs[first], np.diff(first, append=len(pairs))
+
+
 class Aligner:
     def __init__(self, a: str, b: str):
         self.a, self.b = ByteLevel(a), Pieces(b)
@@ -297,7 +306,7 @@ class Aligner:
                 times = per_b[own]
                 left = np.repeat(a.ids[at_a : ends_a[high - 1]] << 32, times)
                 right = np.repeat((ends_b - per_b)[own] - np.cumsum(times) + times, times) + np.arange(len(left))
-                parts.append(_added([(left | b.ids[right], np.ones(len(left), np.int64))]))
+                parts.append(_counted(left | b.ids[right]))
             low = high
         return parts[0] if len(parts) == 1 else _added(parts)
 

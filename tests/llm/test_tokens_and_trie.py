@@ -257,3 +257,20 @@ def test_stages_keep_columns_of_any_name(spark):
     kept = simhash.keep_first(frame)
     assert kept.columns == frame.columns and sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], rows[2]], key=repr)
     assert secrets.redact(frame.limit(0)).count() == 0 and simhash.keep_first(frame.limit(0)).count() == 0
+
+
+def test_full_table_keeps_the_segments_at_hand(monkeypatch):
+    import public_tokenizers
+    from polarscan.llm import alignment
+
+    aligner = alignment.Aligner(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["the same words come again", "some other words", "the same words été ▁ again"]
+    wanted = [tuple(map(repr, x)) for x in aligner.each(texts)]
+    monkeypatch.setattr(alignment, "REMEMBERED", 1)
+    aligner.a.encode([" never seen before"])
+    learned = []
+    learn = aligner.a._learn
+    monkeypatch.setattr(aligner.a, "_learn", lambda segments: learned.extend(segments) or learn(segments))
+    aligner.a.encode([" never seen before"])
+    assert learned == []  # the table was full, but its words stayed
+    assert [tuple(map(repr, x)) for x in aligner.each(texts)] == wanted
