@@ -2,8 +2,8 @@
 
 Words are seen as units: the ``HEAD`` most frequent words of the training texts, the end mark, and classes of all other words
 (by length and last character). The representation of the next unit is a sum of linear maps of the two units before it; its
-product with a unit's vector, plus a bias, is the unit's score. Scores are normalised exactly: a batched matrix product over
-the distinct contexts of a block gives all units' scores, and their log-sum-exp is subtracted. A word of a class is worth the
+product with a unit's vector, plus a bias, is the unit's score. Scores are normalised exactly: the log-sum-exp of all units' scores is
+subtracted, which one matrix product gives for all contexts. A word of a class is worth the
 class's probability times its share in the class, (count + 1) / (tokens + words + 1), so that one unknown word per class has
 its share, too.
 
@@ -17,10 +17,12 @@ training text all counts are 0 and the model knows the end mark and the classes
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ HEAD = 512  # words with a unit of their own
 WIDTH = 24  # dimensions of a unit
 ROUNDS = 2
 BATCH = 4096
-CONTEXTS = 256  # contexts normalised by one matrix product; its scores stay in the cache
+TINY = 1e-250
 NOISE = 64  # noise units per batch, shared by its tokens
 RATE = 0.08
 END = "\n"  # no word holds a line break
@@ -62,10 +64,16 @@ class Units:
         self.n = len(head) + CLASSES
         self.start = self.n
 
-    def of(self, words: list[str]) -> np.ndarray:
-        get, base = self.head.get, len(self.head)
-        found = (get(w) for w in words)
-        return np.fromiter((base + class_of(w.encode()) if u is None else u for w, u in zip(words, found)), np.int64, len(words))
+    def of(self, words: pa.StringArray) -> np.ndarray:
+        found = pc.index_in(words, value_set=pa.array(list(self.head), pa.string()))
+        sizes = pc.binary_length(words).to_numpy().astype(np.int64)
+        _, offsets, data = words.buffers()
+        ends = np.frombuffer(offsets, np.int32)[words.offset + 1 : words.offset + 1 + len(words)]
+        last = np.frombuffer(data or b"", np.uint8)[ends[sizes > 0] - 1]
+        marked = np.zeros(len(words), bool)
+        marked[sizes > 0] = np.isin(last, np.frombuffer(MARKS, np.uint8))
+        classes = 2 * (np.clip(sizes, 1, LENGTHS) - 1) + marked
+        return np.where(found.is_null().to_numpy(zero_copy_only=False), len(self.head) + classes, pc.fill_null(found, 0).to_numpy()).astype(np.int64)
 
 
 def contexts(units: np.ndarray, sizes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,26 +113,25 @@ class Model:
             at += old.size
         return Model(**parts)
 
-    def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.context[one] @ self.near + self.context[two] @ self.far
-
     def log_probabilities(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural log of the normalised probability of each target. Equal contexts are normalised once."""
+        """Natural log of the normalised probability of each target, looked up by each pair of its three units."""
+        near, far, total = self.tables
         n = len(self.bias)
-        pair = one * (n + 1) + two
-        distinct, of = np.unique(pair, return_inverse=True)
-        order = np.argsort(of, kind="stable")
-        out = np.empty(len(target))
-        edges = np.searchsorted(of[order], np.arange(0, len(distinct) + CONTEXTS, CONTEXTS))
-        for number, (low, high) in enumerate(zip(edges[:-1], edges[1:])):
-            some = distinct[number * CONTEXTS : (number + 1) * CONTEXTS]
-            scores = self.predicted(some // (n + 1), some % (n + 1)) @ self.output.T + self.bias
-            scores -= scores.max(axis=1, keepdims=True)
-            at = order[low:high]
-            row = of[at] - number * CONTEXTS
-            own = scores[row, target[at]]
-            out[at] = own - np.log(np.exp(scores, out=scores).sum(axis=1))[row]
-        return out
+        return near.take(one * n + target) + far.take(two * n + target) - total.take(one * (n + 1) + two)
+
+    @functools.cached_property
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the near and the far unit add to each unit's score, and the log-sum-exp of each context's scores. A score is a sum
+        over the two places, so the sum of its exponential over units is a product of two matrices."""
+        parts = {k: getattr(self, k).astype(np.float64) for k in self.SHAPES}
+        near = parts["context"] @ parts["near"] @ parts["output"].T + parts["bias"]
+        far = parts["context"] @ parts["far"] @ parts["output"].T
+        top_near, top_far = near.max(axis=1, keepdims=True), far.max(axis=1, keepdims=True)
+        sums = np.exp(near - top_near) @ np.exp(far - top_far).T
+        total = np.log(np.maximum(sums, TINY)) + top_near + top_far.T
+        for i, j in np.argwhere(sums < TINY):  # the places' best units are so far apart that products vanish
+            total[i, j] = np.logaddexp.reduce(near[i] + far[j])
+        return near, far, total
 
     def train(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, counts: np.ndarray, seed: int) -> Model:
         """One pass of noise-contrastive estimation in shuffled batches, with AdaGrad steps."""
@@ -138,29 +145,40 @@ class Model:
             seen[name] += gradient * gradient
             now[name] += RATE * gradient / np.sqrt(seen[name])
 
-        def scattered(name: str, index: np.ndarray, rows: np.ndarray) -> np.ndarray:
-            k = len(now[name])
-            if rows.ndim == 1:
-                return np.bincount(index, rows, k).astype(np.float32)
-            return np.stack([np.bincount(index, column, k) for column in rows.T], axis=1).astype(np.float32)
+        def scattered(index: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+            flat = (index[:, None] * WIDTH + places).ravel()
+            return np.bincount(flat, rows.ravel(), k * WIDTH).reshape(k, WIDTH).astype(np.float32)
 
+        n, places = len(counts), np.arange(WIDTH)
         order = random.permutation(len(target))
         for low in range(0, len(order), BATCH):
             at = order[low : low + BATCH]
             a, b, t = one[at], two[at], target[at]
-            noise = random.choice(len(counts), NOISE, p=noise_share)
-            va, vb = now["context"][a], now["context"][b]
-            r = va @ now["near"] + vb @ now["far"]
-            true = (r * now["output"][t]).sum(axis=1) + now["bias"][t] - log_noise[t]
-            false = r @ now["output"][noise].T + now["bias"][noise] - log_noise[noise]
+            noise = random.choice(n, NOISE, p=noise_share)
+            context, output = now["context"], now["output"]
+            r = (context @ now["near"]).take(a, axis=0)
+            r += (context @ now["far"]).take(b, axis=0)
+            own, other, excess = output.take(t, axis=0), output[noise], now["bias"] - log_noise
+            true = np.einsum("ij,ij->i", r, own) + excess[t]
             up = (1 / (1 + np.exp(np.clip(true, -30, 30)))) / len(at)
-            down = (-1 / (1 + np.exp(np.clip(-false, -30, 30)))) / len(at)
-            dr = up[:, None] * now["output"][t] + down @ now["output"][noise]
-            d_output = scattered("output", t, up[:, None] * r) + scattered("output", noise, down.T @ r)
-            d_bias = scattered("bias", t, up) + scattered("bias", noise, down.sum(axis=0))
-            d_context = scattered("context", a, dr @ now["near"].T) + scattered("context", b, dr @ now["far"].T)
-            step("near", va.T @ dr)
-            step("far", vb.T @ dr)
+            down = r @ other.T
+            down += excess[noise]
+            down *= 0.5  # the logistic function by tanh, in place
+            np.tanh(down, out=down)
+            down += 1
+            down *= np.float32(-0.5 / len(at))
+            dr = down @ other
+            own *= up[:, None]
+            dr += own
+            by_noise = np.zeros((n, WIDTH), np.float32)
+            np.add.at(by_noise, noise, down.T @ r)
+            r *= up[:, None]
+            d_output = scattered(t, r, n) + by_noise
+            d_bias = (np.bincount(t, up, n) + np.bincount(noise, np.ones(len(at), np.float32) @ down, n)).astype(np.float32)
+            to_near, to_far = scattered(a, dr, n + 1), scattered(b, dr, n + 1)  # summed by unit, then mapped: both are linear
+            d_near, d_far, d_context = context.T @ to_near, context.T @ to_far, to_near @ now["near"].T + to_far @ now["far"].T
+            step("near", d_near)
+            step("far", d_far)
             step("output", d_output)
             step("bias", d_bias)
             step("context", d_context)
@@ -199,8 +217,8 @@ def fit(corpus: Corpus, rounds: int = ROUNDS) -> Model:
         def run(batches: Iterator[pa.RecordBatch], start: Model = model, number: int = number) -> Iterator[pa.RecordBatch]:
             total, weight = np.zeros(size), 0
             for batch in batches:
-                for block in batch.to_pylist():
-                    unit = units.of(block["words"])[unpack_codes(block["codes"])]
+                for k, block in enumerate(batch.drop_columns("words").to_pylist()):
+                    unit = units.of(batch.column("words")[k].values)[unpack_codes(block["codes"])]
                     sizes = np.array(block["sizes"], dtype=np.int64)
                     one, two = contexts(unit, sizes, units.start)
                     use = np.repeat(~np.array(block["held_out"]), sizes)
@@ -234,7 +252,7 @@ def scored(corpus: Corpus, model: Model) -> DataFrame:
 
     def run(block: dict, facts: pa.Table) -> pa.Table:
         codes, facts = unpack_codes(block["codes"]), facts.sort_by("code")
-        words = facts.column("word").to_pylist()
+        words = pa.concat_arrays(facts.column("word").chunks)
         c = facts.column("c").to_numpy().astype(np.float64)
         unit = units.of(words)
         k = np.maximum(unit - len(units.head), 0)

@@ -7,6 +7,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from polarscan.llm import bpe, crf, lm, nndescent, packing, rules, secrets, simhash, toxicity, warc
@@ -350,3 +351,24 @@ def test_endpoints_of_every_kind_complement_a_weak_secret(endpoint):
 def test_secret_inside_a_database_url_is_blotted(spark):
     made = spark.createDataFrame([(1, "use postgres://app:Zk3vQ9xT7bLm2RwY8pHd@db.example/x now")], "doc_id long, text string")
     assert secrets.redact(made).first()["text"] == "use postgres://app:[SECRET]@db.example/x now"
+
+
+def test_units_of_a_slice_of_words():
+    words = ["of", "", "x", "end.", "ü", "longer-than-twelve;", lm.END, "of"]
+    units = lm.Units(["of", lm.END])
+    want = [units.head.get(w, 2 + lm.class_of(w.encode())) for w in words]
+    assert units.of(pa.array(words)).tolist() == want and units.of(pa.array(words).slice(2, 5)).tolist() == want[2:7]
+    assert units.of(pa.array([], pa.string())).tolist() == []
+
+
+@pytest.mark.parametrize("spread", [1, 400])
+def test_tables_equal_sums_over_all_units(spread):
+    """Also where the places' best units are so far apart that products of exponentials vanish."""
+    draw = np.random.default_rng(6)
+    model = lm.Model.initial(np.arange(40))
+    model = model.like(draw.normal(0, 1, len(model.flat())) * np.sqrt(spread))
+    one, two, target = (draw.integers(0, k, 500) for k in (41, 41, 40))
+    parts = {k: getattr(model, k).astype(float) for k in model.SHAPES}
+    scores = (parts["context"][one] @ parts["near"] + parts["context"][two] @ parts["far"]) @ parts["output"].T + parts["bias"]
+    want = scores[np.arange(500), target] - np.logaddexp.reduce(scores, axis=1)
+    assert np.allclose(model.log_probabilities(one, two, target), want, rtol=1e-9)
