@@ -274,3 +274,39 @@ def test_full_table_keeps_the_segments_at_hand(monkeypatch):
     aligner.a.encode([" never seen before"])
     assert learned == []  # the table was full, but its words stayed
     assert [tuple(map(repr, x)) for x in aligner.each(texts)] == wanted
+
+
+def test_texts_of_known_words_are_not_aligned_again(monkeypatch):
+    aligner = alignment.Aligner(*alignment.tokenizer_files())
+    list(aligner.each(["some words, twice: some\nlines été", "other words"]))
+    monkeypatch.setattr(aligner, "groups", None)  # a call of it would fail
+    text = "other words, some words, twice: other été some\nlines"
+    found, groups = aligner(text), groups_of(text)
+    assert found.digest == digest_of(groups) and found.n_groups == len(groups)
+    want = collections.Counter((x << 32) | y for left, right in groups for x in left for y in right)
+    assert dict(zip(found.pairs.tolist(), found.links.tolist())) == dict(want)
+
+
+@pytest.mark.parametrize("run", [1, 400, 1 << 22])
+def test_alignment_by_words_equals_token_by_token(run, monkeypatch):
+    """Words that are long, have many links, end in white space or are not given back, in runs of one and of many texts."""
+    for name, value in {"RUN": run, "REMEMBERED": 20, "LARGE_RUN": 40, "REMEMBERED_LENGTH": 12, "REMEMBERED_LINKS": 6, "LEARNT": 5, "TOGETHER": 2}.items():
+        monkeypatch.setattr(alignment, name, value)
+    aligner = alignment.Aligner(*alignment.tokenizer_files())
+    texts = [*mixtures(300, [" ", "\n", " word", "x" * 30, "😀" * 9, "\x1c ", "　"], 25), *mixtures(200, ["▁", " "], 10), " ", "a ", " a", "a  b ", "", "▁", "a ▁ b"]
+    for text, found in zip(texts, aligner.each(texts), strict=True):
+        groups = groups_of(text)
+        if groups is None:
+            assert found is alignment.NOTHING
+            continue
+        want = collections.Counter((x << 32) | y for left, right in groups for x in left for y in right)
+        sizes = [sum(len(side[k]) for side in groups) for k in (0, 1)]
+        assert [found.n_a, found.n_b] == sizes and found.digest == digest_of(groups) and found.n_groups == len(groups)
+        assert dict(zip(found.pairs.tolist(), found.links.tolist())) == dict(want)
+
+
+def test_packed_numbers_come_back():
+    for top in (0, 1, 255, 256, 65535, 65536, (1 << 32) - 1, 1 << 32, (1 << 62) + 5):
+        numbers = np.array([0, top, top // 2], np.int64)
+        assert alignment._unpacked(alignment._packed(numbers)).tolist() == numbers.tolist()
+    assert alignment._unpacked(alignment._packed(np.empty(0, np.int64))).tolist() == []
