@@ -98,6 +98,7 @@ class Engine:
     def run_once(self, now: str | None = None) -> None:
         """Processes what is listed now, in bounded batches, then returns."""
         ingest.drained(lambda: self._start(available_now=True, now=now))
+        ingest.housekeeping(self.store, self.config)
 
     def _start(self, available_now: bool, now: str | None = None) -> StreamingQuery:
         checkpoint = f"{self.store.base}/checkpoint"
