@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..operators import framing, metadata, pack, points, quality, raster
 from ..plans import decode as d
 from ..products import ALL_PRODUCTS
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, scratch_scope
 from ..sources import containers, rda
 from . import mapping as m
 from . import synth
@@ -235,10 +235,11 @@ def tilt_file_metadata(spark, sf):
 def rda_round_trip(spark, sf):
     """Files written in the packed format, read back, and compared with what was written: files and differing ones."""
     base = scratch_path(spark, "rda")
-    dec = _decoded(spark, sf)
-    files = rda.one_per_path(d.frame_files(dec))
+    volumes = synth.volumes(spark, sf)  # are kept for other queries
     written = scratch_path(spark, "files")
-    files.write.parquet(written)
+    with scratch_scope(spark):  # nothing of the decode stays on disk beside the export
+        files = rda.one_per_path(d.frame_files(d.decode(volumes, _PRODUCTS)))
+        files.write.option("compression", "zstd").parquet(written)
     rda.export_rda(spark.read.parquet(written), base)
     keys = ["station", "product", "timestamp", "filename"]
     stored = spark.read.parquet(written).select(*keys, F.md5(F.concat(F.col("metadata").cast("binary"), "bitmask", "values")).alias("want"))

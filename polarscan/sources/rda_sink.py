@@ -52,16 +52,12 @@ class RdaWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
         system, base = file_system(self.base)
         task = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
-        folder, names, sizes, made = f"{STAGING}/{self.job}/{task}", [], [], set()
+        folder, names, sizes = f"{STAGING}/{self.job}/{task}", [], []
+        system.create_dir(f"{base}/{folder}", recursive=True)
         for batch in iterator:
             for name, content in zip(batch.column("name").to_pylist(), batch.column("content")):
                 content = content.as_py()
-                target = f"{base}/{folder}/{name}"
-                parent = target.rsplit("/", 1)[0]
-                if parent not in made:
-                    system.create_dir(parent, recursive=True)
-                    made.add(parent)
-                with system.open_output_stream(target) as out:
+                with system.open_output_stream(f"{base}/{folder}/{len(names)}") as out:  # by number: no second tree of folders
                     out.write(content)
                 names.append(name)
                 sizes.append(len(content))
@@ -78,16 +74,16 @@ class RdaWriter(DataSourceArrowWriter):
         log, root = file_system(self.log)
         done = [m for m in messages if m is not None]
 
-        def moved(name: str, folder: str) -> None:
+        def moved(number: int, name: str, folder: str) -> None:
             target = f"{base}/{name}"
             system.create_dir(target.rsplit("/", 1)[0], recursive=True)
-            system.move(f"{base}/{folder}/{name}", target)
+            system.move(f"{base}/{folder}/{number}", target)
 
         with ThreadPoolExecutor(MOVERS) as pool:
             for message in done:
                 with log.open_input_file(f"{root}/.{message.manifest}") as source:
                     names = [p[len(self.base) + 1 :] for p in pq.read_table(source).column("path").to_pylist()]
-                list(pool.map(lambda name, m=message: moved(name, m.folder), names))
+                list(pool.map(lambda at, m=message: moved(*at, m.folder), enumerate(names)))
         for message in done:
             log.move(f"{root}/.{message.manifest}", f"{root}/{message.manifest}")
         self._drop_staging()
